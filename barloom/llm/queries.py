@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import simhash
+from barloom.llm import langid, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {"op5_simhash": op5_simhash}
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES: dict[str, Query] = {"op5_simhash": op5_simhash, "op6_language": op6_language}
 
 ORACLE_SQL: dict[str, str] = {}
