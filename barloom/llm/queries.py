@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import langid, simhash
+from barloom.llm import decontaminate, langid, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -25,6 +29,6 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {"op5_simhash": op5_simhash, "op6_language": op6_language}
+QUERIES: dict[str, Query] = {"op2_decontaminate": op2_decontaminate, "op5_simhash": op5_simhash, "op6_language": op6_language}
 
 ORACLE_SQL: dict[str, str] = {}
