@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, langid, simhash
+from barloom.llm import decontaminate, langid, packing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {"op2_decontaminate": op2_decontaminate, "op5_simhash": op5_simhash, "op6_language": op6_language}
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES: dict[str, Query] = {"op2_decontaminate": op2_decontaminate, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing}
 
 ORACLE_SQL: dict[str, str] = {}
