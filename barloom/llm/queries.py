@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, langid, packing, simhash
+from barloom.llm import decontaminate, langid, packing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +38,6 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {"op2_decontaminate": op2_decontaminate, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing}
+QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing}
 
 ORACLE_SQL: dict[str, str] = {}
