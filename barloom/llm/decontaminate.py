@@ -17,8 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 #: Characters of a q-gram; the share of an item's characters that may be edited; the least item.
 Q = 12
@@ -163,6 +165,26 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterato
         yield block
 
 
+def _holds_any(block: Broadcast, share: float):
+    """A Pandas UDF: does a text hold an item of the block?"""
+
+    @F.pandas_udf(BooleanType())
+    def holds(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = Index(block.value, share)
+        for batch in texts:
+            yield pd.Series([bool(index.search(text)) for text in batch], dtype=bool)
+
+    return holds
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, share: float = EDIT_SHARE) -> DataFrame:
+    """The documents in whose texts no item is found, their rows and columns untouched. One pass for each block of items."""
+    out = documents
+    for block in item_blocks(benchmark, block_chars):
+        out = out.filter(~_holds_any(documents.sparkSession.sparkContext.broadcast(block), share)("text"))
+    return out
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS, share: float = EDIT_SHARE) -> DataFrame:
     """documents(doc_id, text), benchmark(item_id, text): a row for each document and item found in it within the edit budget: start and
     end in characters of the normalised text, edits, and similarity = 1 - edits / item length. One pass over the documents for each

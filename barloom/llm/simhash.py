@@ -92,3 +92,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     linked = fps.join(labels, "fp").groupBy("group_fp").agg(F.min("least_id").alias("group_id"))
     classes = grouped.join(linked, "group_fp", "left").select("fp", "group_fp", F.coalesce("group_id", "least_id").alias("component_id"))
     return docs.join(classes, "fp").select("doc_id", "fp", "component_id", "group_fp")
+
+
+def representatives(documents: DataFrame) -> DataFrame:
+    """One row of each group, whole: the document with the group's smallest id. Texts move only where an id occurs twice or is null."""
+    found = staged(near_duplicates(documents), "near-duplicates")
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("group_fp").alias("fp"))
+    ids = staged(kept, "representatives")
+    once = documents.join(ids.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
+    again = documents.join(ids.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # rows without an id stand for a group only if no row of it has one: one row of each such group, the first by fingerprint and text
+    lost = found.filter(F.col("component_id").isNull()).groupBy("group_fp").agg(F.min("fp").alias("fp"))
+    nameless = documents.filter(F.col("doc_id").isNull()).withColumn("fp_", fingerprint("text")).join(lost.select(F.col("fp").alias("fp_")), "fp_", "left_semi").dropDuplicates(["fp_"]).drop("fp_")
+    return once.select(*documents.columns).union(again.select(*documents.columns)).union(nameless.select(*documents.columns))
