@@ -12,6 +12,7 @@ each; further columns of the input are ignored. Texts are read whole, however lo
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ BLOCK_ROWS = 512
 PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
 
+@functools.lru_cache(maxsize=1)
 def symbol_table() -> np.ndarray:
     """The symbol of each code point below 65,536; letters beyond a-z share the symbols from 27 on."""
     return np.array([ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % (SYMBOLS - 27) if c.isalpha() else 0 for c in map(chr, range(65536))], dtype=np.int32)
