@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, langid, packing, secrets, simhash
+from barloom.llm import chat, decontaminate, langid, packing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing}
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The contract's own conversation, made of both roles saying the same control strings.
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.read_back(chat.formatted_windows(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)))
 
-ORACLE_SQL: dict[str, str] = {}
+
+QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing, "op10_chat": op10_chat}
+
+ORACLE_SQL: dict[str, str] = {"op10_chat": chat.SQL}
