@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontaminate, langid, packing, secrets, simhash
+from barloom.llm import ann, chat, decontaminate, langid, licenses, packing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -38,12 +42,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The contract's own conversation, made of both roles saying the same control strings.
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     return chat.read_back(chat.formatted_windows(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)))
 
 
-QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing, "op10_chat": op10_chat}
+QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_licenses": op3_licenses, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op10_chat": op10_chat}
 
-ORACLE_SQL: dict[str, str] = {"op10_chat": chat.SQL}
+ORACLE_SQL: dict[str, str] = {"op3_licenses": licenses.sql(), "op10_chat": chat.SQL}
