@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import ann, chat, decontaminate, langid, licenses, packing, secrets, simhash
+from barloom.llm import ann, chat, decontaminate, langid, licenses, packing, secrets, simhash, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,12 +46,16 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The contract's own conversation, made of both roles saying the same control strings.
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     return chat.read_back(chat.formatted_windows(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)))
 
 
-QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_licenses": op3_licenses, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op10_chat": op10_chat}
+QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_licenses": op3_licenses, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op9_urls": op9_urls, "op10_chat": op10_chat}
 
 ORACLE_SQL: dict[str, str] = {"op3_licenses": licenses.sql(), "op10_chat": chat.SQL}
