@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import ann, chat, decontaminate, langid, licenses, packing, secrets, simhash, urlfilter
+from barloom.llm import ann, chat, decontaminate, langid, licenses, packing, secrets, simhash, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -56,6 +60,6 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.formatted_windows(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)))
 
 
-QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_licenses": op3_licenses, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op9_urls": op9_urls, "op10_chat": op10_chat}
+QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_licenses": op3_licenses, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op9_urls": op9_urls, "op10_chat": op10_chat}
 
 ORACLE_SQL: dict[str, str] = {"op3_licenses": licenses.sql(), "op10_chat": chat.SQL}
