@@ -16,10 +16,15 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 #: Words of Spark's SQL that the test database spells differently.
-_SPELLING = [(r"\bweekday\(", "-1 + isodow("), (r"\bAS STRING\b", "AS VARCHAR"), (r"\bstruct\(", "row("), (r"\bpercentile\(", "quantile_cont("), (r"\brlike\(", "regexp_matches("), (r"\bregexp_extract\(([^()]*)\)", r"regexp_extract(\1)"), (r"\bsignum\(", "sign("), (r"\btimestamp_seconds\(", "to_timestamp(")]
+_SPELLING = [(r"\b(first|last)_value\((\w+)\) IGNORE NULLS", r"\1_value(\2 IGNORE NULLS)"), (r"from_utc_timestamp\(CAST\((\w+) AS TIMESTAMP\), 'America/New_York'\)", r"(\1 - INTERVAL 5 HOUR)"), (r"\bCAST\((\w+) AS INTERVAL\)", r"\1"), (r"\bunix_timestamp\(", "epoch("), (r"\bweekday\(", "-1 + isodow("), (r"\bAS STRING\b", "AS VARCHAR"), (r"\bstruct\(", "row("), (r"\bpercentile\(", "quantile_cont("), (r"\brlike\(", "regexp_matches("), (r"\bregexp_extract\(([^()]*)\)", r"regexp_extract(\1)"), (r"\bsignum\(", "sign("), (r"\btimestamp_seconds\(", "to_timestamp(")]
 _PANELS = {"bars_w": (panels.weekly_bars, panels.BARS_W), "bars_h": (panels.hourly_bars, panels.BARS_H)}
 
 
+def doubled(sql: str) -> str:
+    """Spark reads 1.0 as a decimal; here every number with a point is a double."""
+    return re.sub(r"(?<![\w.'])(\d+\.\d+)(?![\w.'])", r"\1D", sql)
+
+
 def translated(sql: str) -> str:
     for pattern, word in _SPELLING:
         sql = re.sub(pattern, word, sql)
@@ -64,8 +69,8 @@ def sql_op(name: str, text: str, sources: Mapping[str, str] | None = None) -> No
         frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
         frames |= {p: f(spark, sf_dir) for p, (f, _) in _PANELS.items() if f"{{{p}}}" in text + " ".join((sources or {}).values())}
         for k, part in (sources or {}).items():
-            frames[k] = spark.sql(part, **{n: v for n, v in frames.items() if f"{{{n}}}" in part})
-        return rounded(spark.sql(text, **{n: v for n, v in frames.items() if f"{{{n}}}" in text}))
+            frames[k] = spark.sql(doubled(part), **{n: v for n, v in frames.items() if f"{{{n}}}" in part})
+        return rounded(spark.sql(doubled(text), **{n: v for n, v in frames.items() if f"{{{n}}}" in text}))
 
     parts = [(p, t) for p, (_, t) in _PANELS.items()] + list((sources or {}).items())
     named = ", ".join(f"_{k} AS ({re.sub(r'\{(\w+)\}', lambda m: m[1] if m[1] in tables else '_' + m[1], v)})" for k, v in parts)
