@@ -1,7 +1,7 @@
 """License scan with Spark's own functions only: fixed phrases, and an exact set-similarity join of text blocks with templates.
 
 A block (a line, or a sentence of one) meets a template if the share of the template's distinct words that it holds is at least
-THRESHOLD. Words are ordered by the number of blocks that hold them in the whole corpus, rarest first. A pair that meets the threshold must share
+THRESHOLD. Words are ordered by the number of texts that hold them in the whole corpus, rarest first. A pair that meets the threshold must share
 a word of the template's prefix, its |T| - a + 1 rarest words with a = ceil(threshold |T|) (prefix filter); a block with fewer
 than a template words can't meet it (length filter); and of a pair that shares the words at places i and j of their orders, no
 more than 1 + min(|B| - i, |T| - j) words can be shared (positional filter). What is left is verified exactly. None of the filters loses a pair.
@@ -15,6 +15,8 @@ null doc_id being an id like any other; repeated rows keep one output row each.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +54,14 @@ def words(text: Column) -> Column:
     return F.filter(F.split(lowered(text), BREAK + "+", -1), lambda w: w != "")
 
 
+def any_of(text: str, parts: list[str]) -> Column:
+    """Does the lowered text hold any of the parts? Plain searches, cheaper than a pattern, to leave out most texts."""
+    out = F.lit(False)
+    for part in parts:
+        out = out | F.contains(F.col(text), F.lit(part))
+    return out
+
+
 def phrase_places(documents: DataFrame, phrases: dict[str, str]) -> DataFrame:
     """doc_id, digest of the text, n_words, n_base, first_word, last_word and the phrases' labels of each row; one pass, no shuffle."""
     one = lambda p: (BREAK + "+").join(p.split())
@@ -68,7 +78,8 @@ def phrase_places(documents: DataFrame, phrases: dict[str, str]) -> DataFrame:
     walked = F.aggregate(F.arrays_zip(F.slice(F.split("text", pattern, -1), 1, F.size("found")).alias("gap"), F.col("found").alias("value")), empty, step)
     label = F.create_map(*(F.lit(x) for p in phrases.items() for x in p))
     named = F.array_distinct(F.transform("found", lambda v: label[F.array_join(words(v), " ")]))
-    held = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("found", F.when(F.col("text").rlike(pattern), found).otherwise(F.expr("cast(array() as array<string>)")))
+    hints = sorted({max(p.split(), key=len) for p in phrases})
+    held = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("low", F.lower("text")).withColumn("found", F.when(any_of("low", hints), found).otherwise(F.expr("cast(array() as array<string>)")))
     spread = held.withColumn("places", F.when(F.size("found") > 0, walked))
     return spread.select("doc_id", F.xxhash64("text").alias("digest"), count("text").alias("n_words"), F.size("found").cast("long").alias("n_base"), F.col("places.first").alias("first_word"), F.col("places.last").alias("last_word"), named.alias("base"))
 
@@ -76,24 +87,25 @@ def phrase_places(documents: DataFrame, phrases: dict[str, str]) -> DataFrame:
 def matching_blocks(documents: DataFrame, templates: dict[str, str], threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, digest, block, label, containment) of every block and template at or above the threshold."""
     spark = documents.sparkSession
-    given = spark.createDataFrame(list(templates.items()), "label string, notice string").select("label", F.array_distinct(words(F.col("notice"))).alias("words"))
-    # The lengths and the vocabulary of the templates are read off the parameter.
-    vocabulary = [r[0] for r in given.select(F.explode("words").alias("word")).distinct().orderBy("word").collect()]
-    sizes = [r[0] for r in given.select(F.size("words")).collect()]
-    least = min(_needed(n, threshold) for n in sizes)
+    given = {label: list(dict.fromkeys(_plain_words(notice))) for label, notice in templates.items()}
+    vocabulary = sorted({w for ws in given.values() for w in ws})
+    least = min(_needed(len(ws), threshold) for ws in given.values())
     known = F.array(*map(F.lit, vocabulary))
-    lines = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("digest"), F.posexplode(F.split("text", BLOCK_END, -1)).alias("block", "line"))
-    some = "|".join(vocabulary)
-    blocks = lines.filter(F.col("line").rlike(f"(?i)(?:{some})")).select("doc_id", "digest", "block", F.array_intersect(words(F.col("line")), known).alias("held"))
-    # Corpus counts of the templates' words, over all blocks: as many rows as the vocabulary.
-    counts = blocks.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    vocabulary_table = given.select(F.explode("words").alias("word")).distinct()
-    ranked = vocabulary_table.join(counts, "word", "left").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("all")).select(F.map_from_arrays(F.transform("all", lambda x: x["word"]), F.sequence(F.lit(1), F.size("all"))).alias("rank"))
-    rank = ranked.scalar()
-    ordered = lambda held: F.array_sort(F.transform(held, lambda w: F.element_at("rank", w)))
-    index = given.withColumn("rank", rank).select("label", ordered(F.col("words")).alias("t")).withColumn("need", F.ceil(F.lit(threshold) * F.size("t") - 1e-9).cast("int"))
-    index = index.select("label", "t", "need", F.posexplode(F.slice("t", 1, F.size("t") - F.col("need") + 1)).alias("j", "word"))
-    candidates = blocks.filter(F.size("held") >= least).withColumn("rank", rank).withColumn("b", ordered(F.col("held"))).select("doc_id", "digest", "block", "b", F.posexplode(F.slice("b", F.lit(1), F.size("b") - least + 1)).alias("i", "word"))
+    low = documents.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), F.lower("text").alias("text")).filter(F.col("text").isNotNull())
+    # Corpus counts of the templates' words, over all texts: as many rows as the vocabulary.
+    counts = low.select(F.explode(F.array_intersect(F.split("text", BREAK + "+", -1), known)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    held = {r["word"]: r["n"] for r in counts.collect()}
+    place = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (held.get(w, 0), w)))}
+    index_rows = []
+    for label, ws in given.items():
+        t, need = sorted(place[w] for w in ws), _needed(len(ws), threshold)
+        index_rows += [(label, t, need, j, word) for j, word in enumerate(t[: len(t) - need + 1])]
+    index = spark.createDataFrame(index_rows, "label string, t array<int>, need int, j int, word int")
+    prefix = sorted({w for w in vocabulary for r in index_rows if r[4] == place[w]})
+    rank = F.create_map(*(F.lit(x) for w in vocabulary for x in (w, place[w])))
+    lines = low.filter(any_of("text", prefix)).select("doc_id", "digest", F.posexplode(F.split("text", BLOCK_END, -1)).alias("block", "line"))
+    blocks = lines.filter(any_of("line", prefix)).select("doc_id", "digest", "block", F.array_sort(F.transform(F.array_intersect(F.split("line", BREAK + "+", -1), known), lambda w: F.element_at(rank, w))).alias("b"))
+    candidates = blocks.filter(F.size("b") >= least).select("doc_id", "digest", "block", "b", F.posexplode(F.slice("b", F.lit(1), F.size("b") - least + 1)).alias("i", "word"))
     pairs = candidates.join(index, "word").filter((F.size("b") >= F.col("need")) & (1 + F.least(F.size("b") - F.col("i") - 1, F.size("t") - F.col("j") - 1) >= F.col("need")))
     # A pair met on several words is verified at its first shared word only.
     first = F.col("word") == F.array_min(F.array_intersect("b", "t"))
@@ -101,6 +113,10 @@ def matching_blocks(documents: DataFrame, templates: dict[str, str], threshold:
     return pairs.filter(first & (shared >= F.col("need"))).select("doc_id", "digest", "block", "label", (shared / F.size("t")).alias("containment"))
 
 
+def _plain_words(text: str) -> list[str]:
+    return re.findall(WORD, text.lower())
+
+
 def _needed(size: int, threshold: float) -> int:
     return -int(-(threshold * size - 1e-9) // 1)
 
@@ -133,8 +149,8 @@ p AS (SELECT phrase, label, string_split(phrase, ' ') AS ps FROM (VALUES {phrase
 h AS (SELECT r, label, unnest(list_filter(range(1, len(ws) - len(ps) + 2), lambda i: ws[i:i + len(ps) - 1] = ps)) - 1 AS place FROM w, p WHERE list_has_all(ws, ps)),
 b AS (SELECT r, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS ls FROM h GROUP BY r),
 t AS (SELECT label, list_distinct({listed(low('notice'))}) AS ts FROM (VALUES {template_rows}) v(label, notice)),
-l AS (SELECT r, unnest(string_split_regex(regexp_replace(text, '([.!?])(\\s)', chr(10) || '\\2', 'g'), '\\n')) AS line FROM d),
-k AS (SELECT r, list_distinct({listed(low('line'))}) AS bs FROM l),
+l AS (SELECT r, unnest(string_split_regex(regexp_replace(lower(text), '([.!?])(\\s)', chr(10) || '\\2', 'g'), '\\n')) AS line FROM d),
+k AS (SELECT r, list_distinct({listed('line')}) AS bs FROM l),
 m AS (SELECT r, label, len(list_intersect(bs, ts)) / len(ts) AS c FROM k, t WHERE len(list_intersect(bs, ts)) >= ceil({threshold} * len(ts) - 1e-9)),
 g AS (SELECT r, list(DISTINCT label) AS ls, max(c) AS c FROM m GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
