@@ -139,4 +139,11 @@ def predict(documents: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     learnable = documents.filter((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     classify = classifier(prototypes(learnable, dimensions), dimensions)
     kept = [F.col(f"`{c}`") for c in documents.columns if c not in ("held_out", "lang_pred", "score")]
-    return documents.select(*kept, (fold() == 1).alias("held_out"), classify("text").alias("_found")).select(*kept, "held_out", "_found.lang_pred", "_found.score")
+    return documents.select(*kept, (fold() == 1).alias("held_out"), classify("text").alias("__lang_found")).select(*kept, "held_out", "__lang_found.lang_pred", "__lang_found.score")
+
+
+def recognised(documents: DataFrame, least: float, dimensions: int = DIMENSIONS) -> DataFrame:
+    """The documents, rows and columns untouched, whose language is known with at least this score."""
+    learnable = documents.filter((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    found = documents.withColumn("__lang_found", classifier(prototypes(learnable, dimensions), dimensions)("text"))
+    return found.filter((F.col("__lang_found.lang_pred") != "und") & (F.col("__lang_found.score") >= least)).select(*(F.col(f"`{c}`") for c in documents.columns))

@@ -8,7 +8,8 @@ Splitting a text by a pattern gives the stretches between its matches; their len
 
 Defined results: null and empty texts have no spans, counts of 0, the digest of an empty string and an empty list. Rows with a null
 doc_id and repeated rows keep one output row each. Without any labelled sample both models are uniform, every ratio is 0 and the base spans
-are all. Further columns are ignored; texts are scanned whole. Runs that touch a base span are never a second span.
+are all. Further columns pass through, but for
+one named found, which makes way for the result, and names that begin with __secrets_, which are working columns; texts are scanned whole. Runs that touch a base span are never a second span.
 """
 
 from __future__ import annotations
@@ -63,18 +64,18 @@ def base_spans(text: str = "text") -> dict[str, Column]:
 def with_base(documents: DataFrame) -> DataFrame:
     """documents with a struct column _base of the spans of each base kind, computed for the rows with any sign of them."""
     sign = r"(?i)(?:password|passwd|secret|token|api_?key)[\x22']?\x20*[:=]|AKIA|[0-9a-f]{32}"
-    spans = F.struct(*(v.alias(k) for k, v in base_spans("_text").items()))
+    spans = F.struct(*(v.alias(k) for k, v in base_spans("__secrets_text").items()))
     none = F.expr("named_struct({})".format(", ".join(f"'{k}', cast(array() as array<struct<start:bigint,end:bigint,value:string>>)" for k in LEAST)))
-    return documents.withColumn("_text", F.coalesce(F.col("text"), F.lit(""))).withColumn("_base", F.when(F.col("_text").rlike(sign), spans).otherwise(none))
+    return documents.withColumn("__secrets_text", F.coalesce(F.col("text"), F.lit(""))).withColumn("__secrets_base", F.when(F.col("__secrets_text").rlike(sign), spans).otherwise(none))
 
 
 def log_ratios(documents: DataFrame, sample: int = SAMPLE) -> Column:
     """A scalar subquery: log P_random(b after a) - log P_word(b after a) for each pair of codes, at a * CODES + b + 1 of one array.
 
     Fitted on at most `sample` tokens of each class, those first by hash among all rows with base spans."""
-    labelled = with_base(documents.select("text")).filter((F.size("_base.assign") + F.size("_base.access") + F.size("_base.hex")) > 0)
-    values = F.concat(F.transform("_base.assign", lambda s: F.regexp_extract(s["value"], ASSIGN, 2)), F.transform("_base.access", lambda s: s["value"]), F.transform("_base.hex", lambda s: s["value"]))
-    words = F.regexp_extract_all(F.regexp_replace("_text", F.lit(ASSIGN + "|" + ACCESS + r"|[0-9a-f]{16,}"), F.lit(" ")), F.lit(WORD), F.lit(0))
+    labelled = with_base(documents.select("text")).filter((F.size("__secrets_base.assign") + F.size("__secrets_base.access") + F.size("__secrets_base.hex")) > 0)
+    values = F.concat(F.transform("__secrets_base.assign", lambda s: F.regexp_extract(s["value"], ASSIGN, 2)), F.transform("__secrets_base.access", lambda s: s["value"]), F.transform("__secrets_base.hex", lambda s: s["value"]))
+    words = F.regexp_extract_all(F.regexp_replace("__secrets_text", F.lit(ASSIGN + "|" + ACCESS + r"|[0-9a-f]{16,}"), F.lit(" ")), F.lit(WORD), F.lit(0))
     tokens = labelled.select(F.explode(F.array(F.struct(F.lit(1).alias("random"), values.alias("v")), F.struct(F.lit(0).alias("random"), words.alias("v")))).alias("x")).select("x.random", F.explode("x.v").alias("token")).distinct()
     first = lambda k: tokens.filter(F.col("random") == k).orderBy(F.xxhash64("token"), "token").limit(sample)
     pairs = first(1).union(first(0)).select("random", "token", F.explode(F.sequence(F.lit(1), F.greatest(F.length("token") - 1, F.lit(1)))).alias("i")).filter(F.length("token") > 1)
@@ -94,21 +95,21 @@ def log_ratios(documents: DataFrame, sample: int = SAMPLE) -> Column:
 
 def scan(documents: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """documents(text, ...): the input's columns and `found`: an array of (kind, start, end), by start, then kind in the order of KINDS."""
-    kept = [c for c in documents.columns if c not in ("found", "_text", "_base", "_ratios")]
+    kept = [c for c in documents.columns if c != "found" and not c.startswith("__secrets_")]
     ratios = log_ratios(documents, sample)
 
     def score(value: Column) -> Column:
-        pair = lambda i: F.element_at(F.col("_ratios"), F.ascii(F.substr(value, i, F.lit(1))) * CODES + F.ascii(F.substr(value, i + 1, F.lit(1))) + 1)
+        pair = lambda i: F.element_at(F.col("__secrets_ratios"), F.ascii(F.substr(value, i, F.lit(1))) * CODES + F.ascii(F.substr(value, i + 1, F.lit(1))) + 1)
         return F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0), lambda acc, i: acc + pair(i)) / (F.length(value) - 1)
 
     def listed(kind: str) -> Column:
-        return F.transform(f"_base.{kind}", lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("n"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+        return F.transform(f"__secrets_base.{kind}", lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("n"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
     base = F.concat(*map(listed, LEAST))
-    runs = F.when(F.col("_text").rlike(RUN), _spans("_text", RUN, lambda value: F.lit(True))).otherwise(F.expr("cast(array() as array<struct<start:bigint,end:bigint,value:string>>)"))
-    more = F.transform(F.filter("_runs", lambda s: ~F.exists("_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & (score(s["value"]) > threshold)), lambda s: F.struct(s["start"].alias("start"), F.lit(len(LEAST)).alias("n"), s["end"].alias("end"), F.lit(KINDS[-1]).alias("kind")))
-    found = F.transform(F.array_sort(F.concat("_spans", "_more")), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    spread = with_base(documents.select(*(F.col(f"`{c}`") for c in kept))).withColumn("_spans", base).withColumn("_runs", runs).withColumn("_ratios", F.when(F.size("_runs") > 0, ratios)).withColumn("_more", more)
+    runs = F.when(F.col("__secrets_text").rlike(RUN), _spans("__secrets_text", RUN, lambda value: F.lit(True))).otherwise(F.expr("cast(array() as array<struct<start:bigint,end:bigint,value:string>>)"))
+    more = F.transform(F.filter("__secrets_runs", lambda s: ~F.exists("__secrets_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & (score(s["value"]) > threshold)), lambda s: F.struct(s["start"].alias("start"), F.lit(len(LEAST)).alias("n"), s["end"].alias("end"), F.lit(KINDS[-1]).alias("kind")))
+    found = F.transform(F.array_sort(F.concat("__secrets_spans", "__secrets_more")), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    spread = with_base(documents.select(*(F.col(f"`{c}`") for c in kept))).withColumn("__secrets_spans", base).withColumn("__secrets_runs", runs).withColumn("__secrets_ratios", F.when(F.size("__secrets_runs") > 0, ratios)).withColumn("__secrets_more", more)
     return spread.select(*(F.col(f"`{c}`") for c in kept), found.alias("found"))
 
 
@@ -121,10 +122,11 @@ def redacted(documents: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     rest = lambda acc: F.concat(acc["out"], F.substr("text", acc["at"] + 1, F.length("text")))
     clean = F.aggregate("found", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")), step, rest)
-    out = scan(documents).withColumn("text", F.when(F.size("found") > 0, clean).otherwise(F.col("text")))
+    own = "__held_found"  # a column of the input that is named like scan()'s result
+    out = scan(documents.withColumnRenamed("found", own)).withColumn("text", F.when(F.size("found") > 0, clean).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*(F.col(f"`{c}`") for c in documents.columns))
+    return out.select(*(F.col(f"`{own if c == 'found' else c}`").alias(c) for c in documents.columns))
 
 
 def digest(scanned: DataFrame) -> DataFrame:

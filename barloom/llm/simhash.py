@@ -103,5 +103,5 @@ def representatives(documents: DataFrame) -> DataFrame:
     again = documents.join(ids.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     # rows without an id stand for a group only if no row of it has one: one row of each such group, the first by fingerprint and text
     lost = found.filter(F.col("component_id").isNull()).groupBy("group_fp").agg(F.min("fp").alias("fp"))
-    nameless = documents.filter(F.col("doc_id").isNull()).withColumn("fp_", fingerprint("text")).join(lost.select(F.col("fp").alias("fp_")), "fp_", "left_semi").dropDuplicates(["fp_"]).drop("fp_")
+    nameless = documents.filter(F.col("doc_id").isNull()).withColumn("__simhash_fp", fingerprint("text")).join(lost.select(F.col("fp").alias("__simhash_fp")), "__simhash_fp", "left_semi").dropDuplicates(["__simhash_fp"]).drop("__simhash_fp")
     return once.select(*documents.columns).union(again.select(*documents.columns)).union(nameless.select(*documents.columns))
