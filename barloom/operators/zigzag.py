@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 def zigzag(bars: DataFrame, reversal: float) -> DataFrame:
     """symbol, ts, pivot, direction: the running extreme of the current swing and its direction; a swing turns once the close is `reversal`
-    beyond its extreme. A symbol's closes meet in one task, as the recurrence asks for: 16 bytes a bar."""
+    beyond its extreme, and the first one starts that far from the first close. A symbol's closes meet in one task, as the recurrence asks for: 16 bytes a bar."""
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")
@@ -20,7 +20,7 @@ def zigzag(bars: DataFrame, reversal: float) -> DataFrame:
                 extreme, direction = close, -1
             elif direction <= 0 and close >= extreme * (1 + reversal):
                 extreme, direction = close, 1
-            elif (direction >= 0 and close > extreme) or (direction < 0 and close < extreme):
+            elif (direction > 0 and close > extreme) or (direction < 0 and close < extreme):
                 extreme = close
             pivots.append(extreme)
             directions.append(direction)
