@@ -111,7 +111,7 @@ EWM: dict[str, tuple[tuple[Step, ...], tuple[dict[str, tuple[str, int]], ...], t
     "FT-12": ((), ({f"ema_{n}": ("close", n) for n in (5, 10, 20)} | {f"kama_{n}": ("close", n) for n in (5, 10, 20)},), ()),
     "FT-14": ((), ({"e5": ("close", 5), "e10": ("close", 10)}, {"f5": ("e5", 5), "f10": ("e10", 10)}, {"g5": ("f5", 5), "g10": ("f10", 10)}), ({f"dema_{n}": f"2 * e{n} - f{n}" for n in (5, 10)} | {f"tema_{n}": f"3 * e{n} - 3 * f{n} + g{n}" for n in (5, 10)},)),
     "FT-17": ((), ({"e12": ("close", 12), "e26": ("close", 26)},), ({"macd": "e12 - e26"},)),
-    "FT-35": (({"mfv": ratio("((close - low) - (high - close))", "high - low") + " * volume"},), ({"e3": ("mfv", 3), "ad_line_ema": ("mfv", 10)},), ({"chaikin_oscillator": "e3 - ad_line_ema", "ad_line_ema": "ad_line_ema"},)),
+    "FT-35": (({**_MFV, "pc": lag("close")}, {"cmf": ratio(roll("sum", "mfv", 20), roll("sum", "volume", 20)), "obv": f"CAST(sum(CASE WHEN close > pc THEN volume WHEN close < pc THEN -volume ELSE 0 END) {over()} AS DOUBLE)"}), ({"e3": ("mfv", 3), "ad_line_ema": ("mfv", 10), "cmf_ema": ("cmf", 10), "obv_ema": ("obv", 10)},), ({"chaikin_oscillator": "e3 - ad_line_ema", "ad_line_ema": "ad_line_ema", "cmf_ema": "cmf_ema", "obv_ema": "obv_ema"},)),
     "FT-39": (({"v": "CAST(volume AS DOUBLE)"},), ({f"volume_ema_{n}": ("v", n) for n in (5, 20)},), ()),
 }
 CATEGORIES = {"price": range(1, 11), "technical": range(11, 37), "volume": range(37, 44), "volatility": range(44, 48), "microstructure": range(48, 53), "time": range(53, 59), "cross": range(59, 60), "interaction": range(60, 62)}
