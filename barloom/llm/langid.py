@@ -26,7 +26,7 @@ SEED = 20240501
 #: Symbols: 0 stands for whatever is no letter, the rest for letters, a-z first.
 SYMBOLS = 128
 #: Documents whose trigrams are counted together.
-BLOCK_ROWS = 512
+BLOCK_ROWS = 256
 
 PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
@@ -64,13 +64,13 @@ class Encoder:
         self.place[every] = np.arange(len(every), dtype=np.int32)
         a, rest = np.divmod(every, SYMBOLS * SYMBOLS)
         b, c = np.divmod(rest, SYMBOLS)
-        bound = (self.first[a] * self.second[b] * self.third[c]).astype(np.float32)
+        bound = self.first[a] * self.second[b] * self.third[c]  # a byte a dimension
         out = np.zeros((len(texts), self.dimensions), dtype=np.float32)
         for i, code in enumerate(codes):
             if len(code):
                 counts = np.bincount(self.place[code])
                 held = np.flatnonzero(counts)
-                v = counts[held].astype(np.float32) @ bound[held]
+                v = counts[held].astype(np.float32) @ bound[held].astype(np.float32)
                 out[i] = v / max(float(np.sqrt(v @ v)), 1e-9)
         return out
 
