@@ -83,7 +83,10 @@ def test_license_cases(spark):
 
 
 def test_toxicity(spark, sf_dir):
-    docs = [(i, ("you are such an idiot and a loser " if i % 4 == 0 else "the weather is fine and calm today ") * 3, "x") for i in range(200)] + [(900 + i, t, "x") for i, t in enumerate(["you 1d10t", "an i d i o t", None, ""])]
+    rng = np.random.default_rng(4)
+    filler, insults = "weather river morning quiet paper window garden letter signal train north winter music table orange".split(), ["idiot", "loser", "moron"]
+    said = lambda i, *more: " ".join([*rng.choice(filler, 8), *more, *rng.choice(filler, 4)])
+    docs = [(i, said(i, *([str(rng.choice(insults))] if i % 4 == 0 else [])), "x") for i in range(200)] + [(900, said(0, "1d10t"), "x"), (901, said(0, "m o r o n"), "x"), (902, None, "x"), (903, "", "x")]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     rows = {r["doc_id"]: r for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string, score string"), labels).collect()}
     assert all(rows[i]["predicted"] == int(i % 4 == 0) for i in range(200))
