@@ -95,13 +95,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def representatives(documents: DataFrame) -> DataFrame:
-    """One row of each group, whole: the document with the group's smallest id. Texts move only where an id occurs twice or is null."""
+    """One row of each group, whole: a document with the group's smallest id; of several texts under that id, one with the smallest
+    fingerprint, and one of repeated rows. Of a group without any id one row stays."""
     found = staged(near_duplicates(documents), "near-duplicates")
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("group_fp").alias("fp"))
-    ids = staged(kept, "representatives")
-    once = documents.join(ids.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
-    again = documents.join(ids.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    # rows without an id stand for a group only if no row of it has one: one row of each such group, the first by fingerprint and text
-    lost = found.filter(F.col("component_id").isNull()).groupBy("group_fp").agg(F.min("fp").alias("fp"))
-    nameless = documents.filter(F.col("doc_id").isNull()).withColumn("__simhash_fp", fingerprint("text")).join(lost.select(F.col("fp").alias("__simhash_fp")), "__simhash_fp", "left_semi").dropDuplicates(["__simhash_fp"]).drop("__simhash_fp")
-    return once.select(*documents.columns).union(again.select(*documents.columns)).union(nameless.select(*documents.columns))
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("group_fp", "fp").agg(F.first("doc_id").alias("id"), F.count("*").alias("n"))
+    least = kept.groupBy("group_fp").agg(F.min("fp").alias("fp"))
+    chosen = staged(kept.join(least, ["group_fp", "fp"]).select("id", "fp", "n"), "representatives")
+    keyed = documents.withColumn("__simhash_fp", fingerprint("text"))
+    mine = (F.col("__simhash_fp") == F.col("fp")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    once = keyed.join(chosen.filter("n = 1"), mine, "left_semi")
+    again = keyed.join(chosen.filter("n > 1"), mine, "left_semi").dropDuplicates(["__simhash_fp"])
+    return once.select(*documents.columns).union(again.select(*documents.columns))

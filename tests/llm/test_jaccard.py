@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from barloom.llm import jaccard
+from barloom.llm import jaccard, langid, simhash
 
 
 def groups(texts: list[str]) -> list[int]:
@@ -59,3 +59,17 @@ def test_stage_keeps_different_texts_of_one_id(spark):
     kept = sorted((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
     assert kept == [(0, "v w x y z"), (1, "a b c d e f g"), (1, "h i j k l m n"), (2, "o p q r s t u")]
     assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").collect() == []
+
+
+def test_simhash_representatives_keep_different_texts_of_one_id(spark):
+    rows = [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "h i j k l m n"), (2, "o p q r s t u"), (None, "o p q r s t u"), (1, "a b c d e f g")]
+    kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "o p q r s t u")]
+
+
+def test_language_stage_keeps_every_decided_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    decided = {r["doc_id"] for r in langid.predict(docs).filter("lang_pred <> 'und'").collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert kept == decided
+    assert {r["text"] for r in docs.filter("text in ('Von.', 'Osrañ.')").collect()} <= {r["text"] for r in docs.filter(docs.doc_id.isin(sorted(kept))).collect()}
