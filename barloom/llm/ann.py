@@ -3,14 +3,14 @@
 A vector is approximated by a sum of codewords, one from each of several full-dimensional codebooks. The codebooks are fitted on a bounded
 sample: residual k-means, then least-squares updates of all codewords together. Every row is encoded by beam search over the
 codebooks, and the norm of its approximation is stored beside the codes. A query's inner products with all codewords form a lookup table, so its
-squared distance to an approximation is |q|^2 - 2 sum(table[code]) + norm. The best `shortlist` of each block of rows by that score are ranked by
-their exact double-precision distances.
+squared distance to an approximation is |q|^2 - 2 sum(table[code]) + norm. The best `shortlist` of each block of rows by that score, and all tied
+with the last of them, are ranked by their exact double-precision distances.
 
 Rows are scored where they are read; only each task's best k of each query are shuffled. Queries are a stated set, taken in blocks of
 bounded size, each a pass over the rows.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or have another length than most of the sample take no part,
-neither as queries nor as candidates, nor do rows with a null vec_id. Ties go to the smaller vec_id. Repeated rows of one vec_id are candidates of
+neither as queries nor as candidates, nor do rows with a null vec_id. Ties go to the smaller vec_id. Of differing vectors of one vec_id the least is its query. Repeated rows of one vec_id are candidates of
 their own; none is the candidate of a query with its vec_id. Fewer candidates than k give fewer rows; an empty table none. Further columns are ignored.
 """
 
@@ -115,7 +115,8 @@ def _search_block(rows: DataFrame, book: Codebooks, queries: tuple[np.ndarray, n
                 for some in range(0, len(ids), 256):
                     these = slice(some, some + 256)
                     score = norms[:, None] - 2 * sum(table[m][codes[:, m], these] for m in range(codes.shape[1]))
-                    take = min(shortlist + 1, len(x))  # one more, as a query's own row may be among them
+                    score[own[:, None] == ids[None, these]] = np.inf  # a query's own rows, however many, are no candidates
+                    take = min(shortlist, len(x))
                     near = np.argpartition(score, take - 1, axis=0)[:take].T
                     exact = np.sqrt(((x[near] - q[these, None, :]) ** 2).sum(2))
                     exact[own[near] == ids[these, None]] = np.inf
@@ -123,6 +124,12 @@ def _search_block(rows: DataFrame, book: Codebooks, queries: tuple[np.ndarray, n
                     order = np.lexsort((found, exact), axis=1)[:, :k]
                     rows_at = np.arange(len(near))[:, None]
                     top_d, top_i = exact[rows_at, order], found[rows_at, order]
+                    last = np.take_along_axis(score, near.T, axis=0).max(0)
+                    for c in np.flatnonzero(np.isfinite(last) & ((score <= last).sum(0) > take)):  # rows tied with the last one count too
+                        tied = np.flatnonzero(score[:, c] <= last[c])
+                        far = np.sqrt(((x[tied] - q[these][c]) ** 2).sum(1))
+                        best = np.lexsort((own[tied], far))[: top_d.shape[1]]
+                        top_d[c], top_i[c] = far[best], own[tied][best]
                     if some == 0:
                         new_d, new_i = np.full((len(ids), top_d.shape[1]), np.inf), np.zeros((len(ids), top_d.shape[1]), dtype=np.int64)
                     new_d[these], new_i[these] = top_d, top_i
@@ -154,7 +161,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, shortlist: int =
         part = _search_block(rows, book, (np.array(ids, dtype=np.int64), np.array(block)), k, shortlist)
         return part if out is None else out.union(part)
 
-    asked = rows.filter((F.col("vec_id") % every == 0) & (F.size("v") == width)).dropDuplicates(["vec_id"])
+    asked = rows.filter((F.col("vec_id") % every == 0) & (F.size("v") == width)).groupBy("vec_id").agg(F.min("v").alias("v"))
     for row in asked.toLocalIterator():
         ids.append(row["vec_id"])
         block.append(row["v"])
