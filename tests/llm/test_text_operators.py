@@ -98,7 +98,7 @@ def test_toxicity(spark, sf_dir):
 
 def test_deobfuscation():
     decoder = toxicity.Decoder({g: 50 for w in ("idiot", "moron", "loser", "stupid") for p in [f"  {w} "] for g in (p[i : i + 3] for i in range(len(p) - 2))})
-    assert [decoder.decode(x) for x in ("1d10t", "m o r o n", "l0s3r", "stuuupid")] == ["idiot", "moron", "loser", "stupid"]
+    assert [decoder.decode(x) for x in ("1d10t", "m o r o n", "l0s3r", "stuuupid")] == [["idiot"], ["moron"], ["loser"], ["stupid"]]
 
 
 def test_fingerprint_by_bits():
