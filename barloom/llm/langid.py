@@ -7,7 +7,8 @@ the largest cosine.
 
 Defined results: a null text or one without any letter is `und` with score 0. Ties go to the smaller language name. Without any
 learnable row every text is `und`. A null doc_id counts as an empty one when the fold is drawn. Repeated rows keep one output row
-each; further columns of the input are ignored. Texts are read whole, however long.
+each. Columns of the input that are named like an output, in either case, make way for it. Texts are read whole, however long: what is held of a
+text beside its trigrams is PIECE bound vectors at a time.
 """
 
 from __future__ import annotations
@@ -21,12 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from barloom.llm.storage import unused
+
 DIMENSIONS = 1024
 SEED = 20240501
 #: Symbols: 0 stands for whatever is no letter, the rest for letters, a-z first.
-SYMBOLS = 128
-#: Documents whose trigrams are counted together.
+SYMBOLS = 1024
+#: Documents whose trigrams are counted together, and different trigrams that are bound together.
 BLOCK_ROWS = 256
+PIECE = 8192
 
 PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
@@ -55,24 +59,26 @@ class Encoder:
     def __init__(self, dimensions: int = DIMENSIONS):
         self.symbols, letters = symbol_table(), letter_vectors(dimensions)
         self.first, self.second, self.third = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1), letters
-        self.place = np.zeros(SYMBOLS**3, dtype=np.int32)
         self.dimensions = dimensions
 
-    def vectors(self, texts: list[str | None]) -> np.ndarray:
-        codes = [trigram_codes(t, self.symbols) for t in texts]
-        every = np.flatnonzero(np.bincount(np.concatenate([*codes, np.zeros(0, np.int32)]), minlength=1))
-        self.place[every] = np.arange(len(every), dtype=np.int32)
-        a, rest = np.divmod(every, SYMBOLS * SYMBOLS)
+    def bound(self, codes: np.ndarray) -> np.ndarray:
+        """The vectors of trigrams, a row each."""
+        a, rest = np.divmod(codes, SYMBOLS * SYMBOLS)
         b, c = np.divmod(rest, SYMBOLS)
-        bound = self.first[a] * self.second[b] * self.third[c]  # a byte a dimension
+        return (self.first[a] * self.second[b] * self.third[c]).astype(np.float32)
+
+    def vectors(self, texts: list[str | None]) -> np.ndarray:
+        counted = [np.unique(trigram_codes(t, self.symbols), return_counts=True) for t in texts]
+        every = np.unique(np.concatenate([*(codes for codes, _ in counted), np.zeros(0, np.int32)]))
         out = np.zeros((len(texts), self.dimensions), dtype=np.float32)
-        for i, code in enumerate(codes):
-            if len(code):
-                counts = np.bincount(self.place[code])
-                held = np.flatnonzero(counts)
-                v = counts[held].astype(np.float32) @ bound[held].astype(np.float32)
-                out[i] = v / max(float(np.sqrt(v @ v)), 1e-9)
-        return out
+        for at in range(0, len(every), PIECE):
+            part = every[at : at + PIECE]
+            bound = self.bound(part)
+            for i, (codes, counts) in enumerate(counted):
+                low, high = np.searchsorted(codes, [part[0], part[-1] + 1])
+                if low < high:
+                    out[i] += counts[low:high].astype(np.float32) @ bound[np.searchsorted(part, codes[low:high])]
+        return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9)
 
     def blocks(self, batch: pd.Series, rows: int = BLOCK_ROWS) -> Iterator[tuple[int, np.ndarray]]:
         for at in range(0, len(batch), rows):
@@ -133,17 +139,19 @@ def fold(doc_id: str = "doc_id", folds: int = 3) -> Column:
 
 
 def predict(documents: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
-    """documents(doc_id, text, lang): every column of the input that isn't named like an output, with held_out, lang_pred and score.
+    """documents(doc_id, text, lang): every column of the input that isn't named like an output in either case, with held_out, lang_pred and score.
 
     Learns from the rows outside the held-out fold that have a lang; lang is no input of any prediction."""
     learnable = documents.filter((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     classify = classifier(prototypes(learnable, dimensions), dimensions)
-    kept = [F.col(f"`{c}`") for c in documents.columns if c not in ("held_out", "lang_pred", "score")]
-    return documents.select(*kept, (fold() == 1).alias("held_out"), classify("text").alias("__lang_found")).select(*kept, "held_out", "__lang_found.lang_pred", "__lang_found.score")
+    held = unused(documents, "language_found")
+    kept = [F.col(f"`{c}`") for c in documents.columns if c.lower() not in ("held_out", "lang_pred", "score")]
+    return documents.select(*kept, (fold() == 1).alias("held_out"), classify("text").alias(held)).select(*kept, "held_out", f"{held}.lang_pred", f"{held}.score")
 
 
 def recognised(documents: DataFrame, least: float, dimensions: int = DIMENSIONS) -> DataFrame:
     """The documents, rows and columns untouched, whose language is known with at least this score."""
     learnable = documents.filter((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    found = documents.withColumn("__lang_found", classifier(prototypes(learnable, dimensions), dimensions)("text"))
-    return found.filter((F.col("__lang_found.lang_pred") != "und") & (F.col("__lang_found.score") >= least)).select(*(F.col(f"`{c}`") for c in documents.columns))
+    held = unused(documents, "language_found")
+    found = documents.withColumn(held, classifier(prototypes(learnable, dimensions), dimensions)("text"))
+    return found.filter((F.col(f"{held}.lang_pred") != "und") & (F.col(f"{held}.score") >= least)).select(*(F.col(f"`{c}`") for c in documents.columns))

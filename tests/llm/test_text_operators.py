@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import itertools
 import zlib
 
 import numpy as np
 import public_tokenizers
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from barloom.llm import chat, decontaminate, langid, licenses, packing, queries, secrets, simhash, toxicity
@@ -156,13 +158,29 @@ def test_languages(spark, sf_dir):
     assert langid.predict(docs.limit(0)).collect() == []
 
 
+def test_languages_of_long_texts_and_clashing_names(spark):
+    rng = np.random.default_rng(3)
+    cjk = "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 300_000)))
+    rows = [(i, "the river and the winter road of the north", "en", 1) for i in range(9)] + [(i, "der winter und der fluss im norden", "de", 1) for i in range(9, 18)] + [(18, cjk, None, 1), (19, "the north " * 100_000, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, Score int").withColumnRenamed("Score", "SCORE").withColumn("Language_Found", F.lit(1))
+    found = {r["doc_id"]: r for r in langid.predict(df).collect()}
+    assert found[19]["lang_pred"] == "en" and found[18]["lang_pred"] in ("de", "en") and "Language_Found" in langid.predict(df).columns
+    assert langid.recognised(df, -1.0).count() == len(rows) and langid.recognised(df, -1.0).columns == df.columns
+    few, many = langid.Encoder(64), langid.Encoder(64)
+    langid.PIECE, held = 50, langid.PIECE
+    pieces = few.vectors([cjk[:2000], "abc", None])
+    langid.PIECE = held
+    np.testing.assert_allclose(pieces, many.vectors([cjk[:2000], "abc", None]), atol=1e-5)
+
+
 def test_packing_is_whole_and_tight(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "a" * 40_000 + " b" * 9000)], "doc_id long, text string"))
-    rows = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).toPandas()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "a" * 40_000 + " b" * 9000), (-4, "one<|endoftext|>two <|endoftext|><|endoftext"), (None, "same"), (None, "same"), (-5, "twice"), (-5, "twice"), (-6, "a" + " " * 1_000_000 + "b"), (-7, "\n" * 1_200_000)], "doc_id long, text string"))
+    rows = packing.pack(docs.withColumn("Length", F.lit("x")), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN).toPandas()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    assert sorted(rows[rows["doc_id"].isna()]["length"]) == [2, 2] and sorted(rows[rows["doc_id"] == -5]["length"]) == [3, 3]
+    assert packing.pack(docs.limit(0), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN).collect() == []
     by = dict(tuple(rows.groupby("doc_id")))
-    for r in docs.collect():
+    for r in docs.filter("doc_id is not null and doc_id <> -5").collect():
         ids, mine = np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0], dtype="<u4"), by[r["doc_id"]].sort_values("piece")
         assert mine["length"].sum() == len(ids) and list(mine["start"]) == [0, *mine["length"].cumsum()[:-1]]
         assert list(mine["length"])[1:] == [2048] * (len(mine) - 1)
@@ -173,6 +191,18 @@ def test_packing_is_whole_and_tight(spark, sf_dir):
     assert rows["sequence_id"].nunique() <= 1.05 * -(-rows["length"].sum() // 2048) + 1
 
 
+def test_exact_fills_exist_when_combinations_do():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        counts = np.bincount(rng.integers(1, 25, rng.integers(1, 9)), minlength=25)
+        held = [n for n, k in enumerate(counts) for _ in range(k)]
+        gap = int(rng.integers(1, 60))
+        there = any(sum(c) == gap for size in (1, 2, 3) for c in itertools.combinations(held, size))
+        found = packing.exact_fill(counts.astype(np.int64), gap)
+        assert bool(found) == there and (not found or sum(found) == gap)
+        assert all(counts[n] >= found.count(n) for n in found)
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(0)
     for _ in range(5):
