@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
 from barloom.llm import ann, urlfilter
 
@@ -25,6 +26,24 @@ def test_nearest_recall_and_odd_vectors(spark):
     assert [(r["rank"], r["vec_id"]) for r in few] == [(1, 2), (2, 3)]
 
 
+def test_shortlist_is_one_for_the_whole_table(spark):
+    """A hundredth of the rows ranked exactly, clustered vectors, the same rows however they are dealt out."""
+    rng = np.random.default_rng(9)
+    x = (rng.normal(size=(12, 48))[rng.integers(0, 12, 20_000)] * 2 + rng.normal(size=(20_000, 48))).astype("float32")
+    x[5000:5300] = x[400]  # copies, more than a shortlist holds
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(20_000), "embedding": x.tolist(), "Cell": 1}))
+    one = sorted(map(tuple, ann.nearest(df.repartition(1), shortlist=200).collect()))
+    many = sorted(map(tuple, ann.nearest(df.repartition(7), shortlist=200, query_block=90).collect()))
+    assert one == many
+    hits, y = 0, x.astype(float)
+    for q in range(0, 20_000, 100):
+        d = ((y - y[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len({r[2] for r in one if r[0] == q} & set(np.lexsort((np.arange(20_000), d))[:10].tolist()))
+    assert hits >= 0.9 * 2000
+    assert [r[2] for r in one if r[0] == 400] == list(range(5000, 5010))
+
+
 def test_urls(spark):
     rows = [(1, None, "x"), (2, "no scheme", "x"), (3, "HTTP://Shop.Example.COM/en/7?a", "x"), (3, "HTTP://Shop.Example.COM/en/7?a", "x"), (4, "http://a.net/de/8#x", "x"), (None, "http://notcom/en/1", "x"), (5, "http://x.com/en/1", "x"), (6, "http://b.example.net/de/81", "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, verdict string")
