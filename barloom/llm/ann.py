@@ -9,7 +9,8 @@ A search reads the index twice. The first pass scores the rows of the cells near
 `shortlist`-th best score over the whole table; the second ranks every row at or under that score by its exact double-precision distance. So the
 shortlist is one for the whole table, all rows tied with its last one are in it, and no result depends on how the rows are dealt out.
 
-How many cells are near is chosen on the sample, so that they hold PROBED of its own true neighbours; vectors without clusters get all cells.
+How many cells are near is chosen on the sample, so that they hold PROBED of its own true neighbours; vectors without clusters get all cells, and
+so does a query whose near cells hold fewer than k candidates.
 Rows are scored where they are read; what is shuffled is each task's best scores and best k of each query. Queries are a stated set, taken in
 blocks of bounded size, two passes a block, whose results are added to one table.
 
@@ -46,6 +47,7 @@ SHORTLIST = 256
 #: Rows and queries that are scored together, and queries of one search.
 BLOCK_ROWS = 8192
 SOME_QUERIES = 256
+TILE = 192
 QUERY_BLOCK = 4096
 SEED = 7
 RESULT = "query_id long, rank int, vec_id long, score double"
@@ -58,8 +60,11 @@ class Codebooks:
     words: np.ndarray
 
     def encode(self, x: np.ndarray, beam: int = BEAM) -> np.ndarray:
-        """The codes of each row: the beam keeps the best partial sums by their distance to the row."""
-        n, (books, size, _) = len(x), self.words.shape
+        """The codes of each row: the beam keeps the best partial sums by their distance to the row. Rows are padded to whole tiles of a
+        matrix product, so a row's codes don't depend on its place and equal vectors get equal codes."""
+        whole, (books, size, _) = len(x), self.words.shape
+        x = np.vstack([x, np.zeros((-len(x) % TILE, x.shape[1]))])
+        n = len(x)
         codes = np.zeros((n, 1, books), dtype=np.uint8)
         residual = x[:, None, :].astype(np.float32)
         for m in range(books):
@@ -73,7 +78,7 @@ class Codebooks:
             codes = codes[rows, parent]
             codes[:, :, m] = word
             residual = residual[rows, parent] - w[word]
-        return codes[np.arange(n), (residual * residual).sum(2).argmin(1)]
+        return codes[np.arange(n), (residual * residual).sum(2).argmin(1)][:whole]
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
         return sum(self.words[m][codes[:, m]] for m in range(len(self.words)))
@@ -120,6 +125,10 @@ def fit(x: np.ndarray, books: int = CODEBOOKS, size: int = CODEWORDS, rounds: in
     return book
 
 
+def cells_by_distance(q: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.argsort((centres * centres).sum(1)[None, :] - 2 * q @ centres.T, axis=1, kind="stable")
+
+
 def fit_cells(x: np.ndarray, k: int) -> tuple[np.ndarray, int]:
     """Centres of coarse cells, and how many of a query's nearest cells hold PROBED of its k nearest in the sample."""
     rng = np.random.default_rng(SEED)
@@ -128,7 +137,7 @@ def fit_cells(x: np.ndarray, k: int) -> tuple[np.ndarray, int]:
     away = (x * x).sum(1)[None, :] - 2 * x[asking] @ x.T
     away[np.arange(len(asking)), asking] = np.inf
     near = np.argsort(away, axis=1)[:, : min(k, len(x) - 1)]
-    order = np.argsort((centres * centres).sum(1)[None, :] - 2 * x[asking] @ centres.T, axis=1)
+    order = cells_by_distance(x[asking], centres)
     place = np.argsort(order, axis=1)  # the rank of each cell for each query
     ranks = np.sort(np.take_along_axis(place, nearest_centre(x, centres)[near], axis=1).ravel())
     return centres, int(ranks[min(len(ranks) - 1, int(np.ceil(PROBED * len(ranks))))]) + 1 if len(ranks) else len(centres)
@@ -166,7 +175,7 @@ class Search:
     def __init__(self, book: Codebooks, centres: np.ndarray, probes: int, ids: np.ndarray, q: np.ndarray):
         self.ids, self.q = ids, q
         self.table = np.einsum("qd,mkd->mkq", q, book.words).astype(np.float32)
-        near = np.argsort((centres * centres).sum(1)[None, :] - 2 * q @ centres.T, axis=1)[:, :probes]
+        near = cells_by_distance(q, centres)[:, :probes]
         self.asked = np.zeros((len(centres), len(ids)), dtype=bool)  # by cell and query
         self.asked[near.ravel(), np.repeat(np.arange(len(ids)), near.shape[1])] = True
 
@@ -190,8 +199,8 @@ class Search:
                     yield rows, these, score
 
 
-def _bounds(index: DataFrame, search, shortlist: int) -> dict[int, float]:
-    """The shortlist-th best score of each query over all rows."""
+def _bounds(index: DataFrame, search, shortlist: int) -> dict[int, tuple[int, float]]:
+    """How many rows each query has scored, up to the shortlist, and the shortlist-th best score over all of them."""
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.full((len(search.value.ids), 0), np.inf, dtype=np.float32)
@@ -208,14 +217,23 @@ def _bounds(index: DataFrame, search, shortlist: int) -> dict[int, float]:
 
     scored = index.select("vec_id", "cell", "codes", "norm").mapInPandas(best, "q long, best array<double>")
     lists = scored.groupBy("q").agg(F.array_sort(F.flatten(F.collect_list("best"))).alias("best"))
-    return {r["q"]: r["bound"] for r in lists.select("q", F.coalesce(F.get("best", F.lit(shortlist - 1)), F.lit(float("inf"))).alias("bound")).collect()}  # a number for each query of the block
+    bound = F.coalesce(F.get("best", F.lit(shortlist - 1)), F.lit(float("inf")))
+    return {r["q"]: (r["n"], r["bound"]) for r in lists.select("q", F.least(F.size("best"), F.lit(shortlist)).alias("n"), bound.alias("bound")).collect()}  # two numbers for each query of the block
 
 
 def _search_block(index: DataFrame, search: Search, k: int, shortlist: int) -> DataFrame:
     context = index.sparkSession.sparkContext
     shared = context.broadcast(search)
     held = _bounds(index, shared, shortlist)
-    bounds = context.broadcast(np.array([held.get(i, -np.inf) for i in range(len(search.ids))]))
+    few = [i for i in range(len(search.ids)) if held.get(i, (0, 0.0))[0] < k]
+    if few and not search.asked[:, few].all():  # their cells hold too little: they ask for all of them
+        every = search.asked.copy()
+        search.asked[:] = False
+        search.asked[:, few] = True
+        held |= _bounds(index, context.broadcast(search), shortlist)
+        search.asked |= every
+        shared = context.broadcast(search)
+    bounds = context.broadcast(np.array([held.get(i, (0, -np.inf))[1] for i in range(len(search.ids))]))
 
     def ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         s, best = shared.value, {}
