@@ -3,7 +3,12 @@
 A fingerprint's segments are mapped to their counts of one bits. Two fingerprints that differ in d bits have count vectors whose
 Manhattan distance is at most d, so that distance is a lower bound, and the range join under it loses no link. The range join
 runs on the integer grid: two grid points at most two apart share a point that is at most one step from each, so every
-fingerprint is put into its own cell and the cells one step away, equal cells meet, and the bits are compared exactly.
+fingerprint is put into its own cell and the cells one step away, equal cells meet, and the bits are compared exactly. What lies in full cells is
+embedded anew with smaller segments.
+
+Fingerprints of 64 bits can't surely tell texts of a similarity of 0.8 (they differ in some ten bits) from others, so representatives(), which
+has to link all of those, takes the same embedding of the shingle sets themselves (see jaccard): counts of a set's hashes in segments
+of the hash space, whose Manhattan distance is a lower bound of the number of shingles that two sets don't share, then exact comparison.
 
 Defined results: a null text has no words, as an empty one; no words give fingerprint zero, which links like any other. Rows with a
 null doc_id are fingerprinted and link, but are never the smallest id; a group without any id has a null component_id. Repeated
@@ -21,14 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from barloom.llm import jaccard
 from barloom.llm.graph import connected_components
 from barloom.llm.storage import staged
 
 SHINGLE_WORDS = 3
 SEED = 42
-#: Bits of a segment. 16 segments of 4 bits give about 1e9 even cells; 2 bits suit collections beyond some 1e9 fingerprints.
-SEGMENT_BITS = 4
-#: Cells with more fingerprints than this are linked by exact one-bit variants instead of by pairs.
+#: Bits of a segment, coarse first. 16 segments of 4 bits give about 1e9 even cells, 32 of 2 bits some 1e15.
+SEGMENT_BITS = (4, 2)
+#: Cells with more fingerprints than this are embedded with the next smaller segments, at last linked by exact one-bit variants instead of by pairs.
 CELL_ROWS = 64
 
 _BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -53,34 +59,47 @@ def fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([fingerprint_of(t) for t in batch], dtype="int64")
 
 
-def popcount_cells(fp: str, segment_bits: int = SEGMENT_BITS) -> Column:
+def popcount_cells(fp: str, segment_bits: int = SEGMENT_BITS[0]) -> Column:
     """An array of packed cells: the fingerprint's own and those one step away on the grid of segment counts."""
     width = segment_bits.bit_length()
     counts = [F.bit_count(F.shiftrightunsigned(fp, at).bitwiseAND((1 << segment_bits) - 1)).cast("long") for at in range(0, 64, segment_bits)]
     if width * len(counts) > 64:
         raise ValueError("these segments don't fit into a 64-bit cell number")
-    steps = [1 << (width * i) if width * i < 63 else -(1 << 63) for i in range(len(counts))]
-    own = sum((c * F.lit(s) for c, s in zip(counts[1:], steps[1:], strict=True)), counts[0])
-    near = [F.when(c < segment_bits, own + F.lit(s)) for c, s in zip(counts, steps, strict=True)] + [F.when(c > 0, own - F.lit(s)) for c, s in zip(counts, steps, strict=True)]
+    own = F.lit(0).cast("long")
+    for i, c in enumerate(counts):
+        own = own.bitwiseOR(F.shiftleft(c, width * i))
+    moved = lambda i, c, to: own.bitwiseXOR(F.shiftleft(c.bitwiseXOR(to), width * i))
+    near = [F.when(c < segment_bits, moved(i, c, c + 1)) for i, c in enumerate(counts)] + [F.when(c > 0, moved(i, c, c - 1)) for i, c in enumerate(counts)]
     return F.array_compact(F.array(own, *near))
 
 
-def links(fingerprints: DataFrame, segment_bits: int = SEGMENT_BITS, cell_rows: int = CELL_ROWS) -> DataFrame:
+def links(fingerprints: DataFrame, segment_bits: tuple[int, ...] = SEGMENT_BITS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Distinct fingerprints(fp) in; (a, b) out, a < b: links that join exactly those reachable over 2 or fewer differing bits.
 
-    Cells of up to cell_rows fingerprints are compared pair by pair. The fingerprints of larger cells are put under each of their
-    65 variants of at most one flipped bit: all that share a variant are within two bits of each other, at most 65 in number, and
-    one star of links joins them. So no cell, however full, makes pairs that grow with its square.
+    Cells of up to cell_rows fingerprints are compared pair by pair. The fingerprints of fuller cells go on to the next smaller segments; those
+    that stay in full cells are put under each of their 65 variants of at most one flipped bit: all that share a variant are within two
+    bits of each other, at most 65 in number, and one star of links joins them. So no cell, however full, makes pairs that grow with
+    its square.
     """
-    cells = staged(fingerprints.select("fp", F.explode(popcount_cells("fp", segment_bits)).alias("cell")), "cells")
-    sizes = staged(cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1"), "cell-sizes")
-    few = cells.join(sizes.filter(F.col("n") <= cell_rows).select("cell"), "cell")
-    pairs = few.select("cell", F.col("fp").alias("a")).join(few.select("cell", F.col("fp").alias("b")), "cell").filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).select("a", "b")
-    many = cells.join(sizes.filter(F.col("n") > cell_rows).select("cell"), "cell").select("fp").distinct()
-    flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(1 << i if i < 63 else -(1 << 63))) for i in range(64)]
-    stars = many.select("fp", F.explode(F.array(*flips)).alias("variant")).groupBy("variant").agg(F.array_sort(F.collect_set("fp")).alias("fps")).filter(F.size("fps") > 1)
-    starred = stars.select(F.col("fps")[0].alias("a"), F.explode(F.slice("fps", 2, 64)).alias("b"))
-    return pairs.union(starred).distinct()
+    found, rest = [], fingerprints
+    for bits in segment_bits:
+        cells = staged(rest.select("fp", F.explode(popcount_cells("fp", bits)).alias("cell")), "cells")
+        sizes = staged(cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1"), "cell-sizes")
+        few = cells.join(sizes.filter(F.col("n") <= cell_rows).select("cell"), "cell")
+        near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
+        found.append(few.select("cell", F.col("fp").alias("a")).join(few.select("cell", F.col("fp").alias("b")), "cell").filter(near).select("a", "b"))
+        full = sizes.filter(F.col("n") > cell_rows).select("cell")
+        if full.isEmpty():
+            break
+        rest = staged(cells.join(full, "cell").select("fp").distinct(), "crowded")
+    else:
+        flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(1 << i if i < 63 else -(1 << 63))) for i in range(64)]
+        stars = rest.select("fp", F.explode(F.array(*flips)).alias("variant")).groupBy("variant").agg(F.array_sort(F.collect_set("fp")).alias("fps")).filter(F.size("fps") > 1)
+        found.append(stars.select(F.col("fps")[0].alias("a"), F.explode(F.slice("fps", 2, 64)).alias("b")))
+    out = found[0]
+    for part in found[1:]:
+        out = out.union(part)
+    return out.distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -94,15 +113,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return docs.join(classes, "fp").select("doc_id", "fp", "component_id", "group_fp")
 
 
-def representatives(documents: DataFrame) -> DataFrame:
-    """One row of each group, whole: a document with the group's smallest id; of several texts under that id, one with the smallest
-    fingerprint, and one of repeated rows. Of a group without any id one row stays."""
-    found = staged(near_duplicates(documents), "near-duplicates")
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("group_fp", "fp").agg(F.first("doc_id").alias("id"), F.count("*").alias("n"))
-    least = kept.groupBy("group_fp").agg(F.min("fp").alias("fp"))
-    chosen = staged(kept.join(least, ["group_fp", "fp"]).select("id", "fp", "n"), "representatives")
-    keyed = documents.withColumn("__simhash_fp", fingerprint("text"))
-    mine = (F.col("__simhash_fp") == F.col("fp")) & F.col("doc_id").eqNullSafe(F.col("id"))
-    once = keyed.join(chosen.filter("n = 1"), mine, "left_semi")
-    again = keyed.join(chosen.filter("n > 1"), mine, "left_semi").dropDuplicates(["__simhash_fp"])
-    return once.select(*documents.columns).union(again.select(*documents.columns))
+def representatives(documents: DataFrame, least: tuple[int, int] = jaccard.LEAST, words: int = jaccard.SHINGLE_WORDS) -> DataFrame:
+    """One row of each group of texts whose sets of shingles are similar, whole: a document with the group's smallest id; of several texts under
+    that id, one with the smallest hash of its set, and one of repeated rows. Of a group without any id one row stays."""
+    return jaccard.representatives(documents, least, words)
