@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.plans.bar_queries import KEY, B, F, L, M, R
+from barloom.plans.bar_queries import KEY, B, F, L, R
 from barloom.plans.panel_queries import I
 from barloom.plans.registry import sql_op
 
@@ -83,5 +83,4 @@ sql_op("trd_1", f"SELECT symbol, {R('(w * wxy - wx * wy) / nullif(w * wxx - wx *
 sql_op("dec_1", "SELECT symbol, CASE WHEN avg(CASE WHEN back <= 3 THEN auc END) < 0.8 * avg(CASE WHEN back > 3 THEN auc END) THEN 'score_decline' WHEN abs(avg(CASE WHEN back <= 3 THEN pos_rate END) - avg(CASE WHEN back > 3 THEN pos_rate END)) > 0.1 THEN 'balance_drift' ELSE 'none' END AS decision FROM {prev} GROUP BY symbol", P)
 sql_op("rte_1", "SELECT target, CASE WHEN hi >= 0.95 THEN 'BLOCKED' WHEN mean >= 0.65 AND good >= 0.5 THEN 'BOTH' WHEN mean >= 0.65 THEN 'CROSS_SECTIONAL' WHEN good > 0 THEN 'SYMBOL_SPECIFIC' ELSE 'BLOCKED' END AS route FROM {agg}", A)
 sql_op("rte_2", "SELECT s.target, s.symbol, CASE WHEN auc >= 0.95 THEN 'LEAK_BLOCKED' WHEN auc >= 0.65 AND mean >= 0.65 THEN 'BOTH' WHEN auc >= 0.65 THEN 'LOCAL' WHEN mean >= 0.65 THEN 'CROSS' ELSE 'EXPERIMENTAL' END AS route FROM {sym} s JOIN {agg} a ON s.target = a.target", A)
-sql_op("tg_17", "SELECT target, task, CASE task WHEN 'binary' THEN 'logloss' WHEN 'multiclass' THEN 'multi_logloss' ELSE 'rmse' END AS objective, n_bars FROM {target_meta} CROSS JOIN (SELECT count(*) AS n_bars FROM {bars_w}) b", M)
 __all__ = ["B"]

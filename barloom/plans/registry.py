@@ -16,7 +16,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 #: Words of Spark's SQL that the test database spells differently.
-_SPELLING = [(r"\b(first|last)_value\((\w+)\) IGNORE NULLS", r"\1_value(\2 IGNORE NULLS)"), (r"from_utc_timestamp\(CAST\((\w+) AS TIMESTAMP\), 'America/New_York'\)", r"(\1 - INTERVAL 5 HOUR)"), (r"\bCAST\((\w+) AS INTERVAL\)", r"\1"), (r"\bunix_timestamp\(", "epoch("), (r"\bweekday\(", "-1 + isodow("), (r"\bAS STRING\b", "AS VARCHAR"), (r"\bstruct\(", "row("), (r"\bpercentile\(", "quantile_cont("), (r"\brlike\(", "regexp_matches("), (r"\bregexp_extract\(([^()]*)\)", r"regexp_extract(\1)"), (r"\bsignum\(", "sign("), (r"\btimestamp_seconds\(", "to_timestamp(")]
+_SPELLING = [(r"\b(first|last)_value\((\w+)\) IGNORE NULLS", r"\1_value(\2 IGNORE NULLS)"), (r"from_utc_timestamp\(CAST\((\w+) AS TIMESTAMP\), 'America/New_York'\)", r"timezone('America/New_York', timezone('UTC', \1))"), (r"\bCAST\((\w+) AS INTERVAL\)", r"\1"), (r"\bunix_timestamp\(", "epoch("), (r"\bweekday\(", "-1 + isodow("), (r"\bAS STRING\b", "AS VARCHAR"), (r"\bstruct\(", "row("), (r"\bpercentile\(", "quantile_cont("), (r"percentile_disc\(([\d.]+)\) WITHIN GROUP \(ORDER BY (\w+)\)", r"quantile_disc(\2, \1)"), (r"\brlike\(", "regexp_matches("), (r"\bregexp_extract\(([^()]*)\)", r"regexp_extract(\1)"), (r"\bsignum\(", "sign("), (r"\btimestamp_seconds\(", "to_timestamp(")]
 _PANELS = {"bars_w": (panels.weekly_bars, panels.BARS_W), "bars_h": (panels.hourly_bars, panels.BARS_H)}
 
 
@@ -60,9 +60,9 @@ def panel_op(name: str, columns: Sequence[str], *steps: Step, panel: str = "bars
     register(name, query, translated(f"SELECT {', '.join(shown)} FROM {inner}"))
 
 
-def sql_op(name: str, text: str, sources: Mapping[str, str] | None = None) -> None:
+def sql_op(name: str, text: str, sources: Mapping[str, str] | None = None, by: Query | None = None) -> None:
     """Registers one SQL text over the panels bars_w and bars_h and the given tables: Spark runs it on its DataFrames, the test database on CTEs.
-    sources: further CTEs, name to text."""
+    sources: further CTEs, name to text. by: the operator's own query, which Spark runs instead of the text."""
     tables = [t for t in ("lineitem", "supplier", "orders", "events", "customer", "nation", "part") if re.search(rf"\{{{t}\}}", text + " ".join((sources or {}).values()))]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,4 +75,4 @@ def sql_op(name: str, text: str, sources: Mapping[str, str] | None = None) -> No
     parts = [(p, t) for p, (_, t) in _PANELS.items()] + list((sources or {}).items())
     named = ", ".join(f"_{k} AS ({re.sub(r'\{(\w+)\}', lambda m: m[1] if m[1] in tables else '_' + m[1], v)})" for k, v in parts)
     whole = re.sub(r"\{(\w+)\}", lambda m: m[1] if m[1] in tables else "_" + m[1], text)
-    register(name, query, translated(f"WITH {named}, _out AS ({whole}) SELECT * FROM _out"))
+    register(name, (lambda spark, sf_dir: rounded(by(spark, sf_dir))) if by else query, translated(f"WITH {named}, _out AS ({whole}) SELECT * FROM _out"))

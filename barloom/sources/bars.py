@@ -34,9 +34,18 @@ def load_report(bars: DataFrame, asked: DataFrame) -> DataFrame:
     return asked.join(found, "symbol", "left").select("symbol", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.when(F.col("n_rows").isNull(), "file_not_found").otherwise("loaded").alias("status"))
 
 
+def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """CSV files with a header, read in splits against a given schema; a row that doesn't fit it is an error."""
+    return spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
+
+
 def narrowed(df: DataFrame) -> DataFrame:
-    """Double features as floats, base columns untouched."""
-    return df.select(*(F.col(c).cast("float").alias(c) if t == "double" and c not in BASE else F.col(c) for c, t in df.dtypes))
+    """Double features as floats, and whole-number features as ints where all their values fit, found in one pass; base columns untouched."""
+    wide = [c for c, t in df.dtypes if t == "bigint" and c not in BASE]
+    least = -(1 << 31)
+    fits = df.agg(*(F.coalesce((F.min(c) >= least) & (F.max(c) < -least), F.lit(False)).alias(c) for c in wide)).first() if wide else {}
+    kind = {c: "float" for c, t in df.dtypes if t == "double" and c not in BASE} | {c: "int" for c in wide if fits[c]}
+    return df.select(*(F.col(c).cast(kind[c]).alias(c) if c in kind else F.col(c) for c in df.columns))
 
 
 def checked(df: DataFrame, required: tuple[str, ...] = ("symbol", "ts", "open", "high", "low", "close", "volume")) -> DataFrame:
@@ -49,12 +58,35 @@ def checked(df: DataFrame, required: tuple[str, ...] = ("symbol", "ts", "open",
     return df
 
 
-def write_bars(df: DataFrame, root: str, interval: str, zone: str = "America/New_York", mode: str = "overwrite") -> None:
-    """Partitioned by interval, symbol and the local date; dynamic, so a rerun replaces only the partitions that it has."""
-    dated = checked(df).withColumn("interval", F.lit(interval)).withColumn("date", F.to_date(F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone)))
-    dated.repartition("symbol", "date").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("interval", "symbol", "date").parquet(root)
+def write_bars(df: DataFrame, root: str, interval: str, zone: str = "America/New_York", mode: str = "overwrite", by_date: bool = True) -> None:
+    """Partitioned by interval, symbol and, if asked for, the local date, which suits bars of many a day; dynamic, so a rerun replaces only the
+    partitions that it has. Rows meet by partition before they are written, so each one is few files."""
+    held = checked(df).withColumn("interval", F.lit(interval))
+    keys = ["symbol"]
+    if by_date:
+        held, keys = held.withColumn("date", F.to_date(F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone))), ["symbol", "date"]
+    held.repartition(*keys).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("interval", *keys).parquet(root)
 
 
 def without_targets(df: DataFrame, prefixes: tuple[str, ...] = ("y_", "fwd_ret", "tth", "mfe", "mdd", "hit_", "ret_ord")) -> DataFrame:
     """The columns that no label family owns, so labels can be made anew."""
     return df.select(*(c for c in df.columns if not c.startswith(prefixes)))
+
+
+def not_done(df: DataFrame, root: str) -> DataFrame:
+    """The rows of symbols that root doesn't hold yet; all of them where nothing is written."""
+    spark = df.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return df
+    done = spark.read.parquet(root).select(F.col("symbol").cast("string").alias("symbol")).distinct()
+    return df.join(done, "symbol", "left_anti")
+
+
+def write_labels(df: DataFrame, root: str, version: str, about: dict[str, str]) -> None:
+    """df under labels/label_version=..., replacing that version alone, and a row about it under versions."""
+    spark = df.sparkSession
+    held = df.withColumn("label_version", F.lit(version))
+    held.repartition("symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("label_version").parquet(f"{root}/labels")
+    row = spark.range(1).select(F.lit(version).alias("label_version"), F.current_timestamp().alias("made_at"), *(F.lit(v).alias(k) for k, v in about.items()))
+    row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("label_version").parquet(f"{root}/versions")

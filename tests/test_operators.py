@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__  # noqa: F401  registers the queries
 from barloom.functions.ewm import ewm
 from barloom.functions.portable import apply_steps
-from barloom.operators import features, targets
+from barloom.operators import features, metadata, targets
 from barloom.operators.zigzag import zigzag
 from barloom.plans import registry
 from barloom.streaming import live
@@ -73,13 +73,24 @@ def test_zigzag(spark):
 def test_asof_never_looks_ahead(spark, sf_dir):
     joined = registry.QUERIES["jn_1"](spark, sf_dir)
     assert joined.filter(F.col("avail") > F.col("ts")).isEmpty()
-    assert joined.count() == registry.QUERIES["ag_4"](spark, sf_dir).count() * 0 + registry.QUERIES["prj_4"](spark, sf_dir).count()
+    assert joined.count() == registry.QUERIES["prj_4"](spark, sf_dir).count()
 
 
-def test_lookbacks(spark, sf_dir):
-    found = {r["feature"]: r["lookback_min"] for r in registry.QUERIES["prj_16"](spark, sf_dir).collect()}
-    expected = {"price_momentum_60d": 86400, "volume_momentum_20d": 28800, "volatility_3d": 4320, "market_correlation_60d": 86400, "rsi_30": 150, "cci_30": 150}
-    assert {k: found[k] for k in expected} == expected
+def test_lookbacks(spark):
+    expected = {"price_momentum_60d": 86400, "volume_momentum_20d": 28800, "volatility_3d": 4320, "market_correlation_60d": 86400, "rsi_30": 150, "cci_30": 150, "hour_of_day": 0, "vol_24h": 1440, "ret_15m": 15, "unknown_thing": 1440}
+    names = spark.createDataFrame([(n,) for n in expected], "feature string")
+    assert {r["feature"]: r["lookback_min"] for r in metadata.feature_meta(names, 5.0).collect()} == expected
+
+
+def test_names_decide_what_may_be_used(spark):
+    features = metadata.feature_meta(spark.createDataFrame([(n,) for n in ("fwd_ret_30m", "zigzag_high", "ret_30m", "rsi_14", "ichimoku_chikou")], "feature string"))
+    targets = metadata.target_meta(spark.createDataFrame([("y_will_peak_30m_0.5",), ("tth_2h",)], "target string"))
+    found = {(r["target"], r["feature"]): r["reason"] for r in metadata.excluded(features, targets, spark.createDataFrame([("^rsi",)], "pattern string")).collect()}
+    assert [found["y_will_peak_30m_0.5", f] for f in ("fwd_ret_30m", "zigzag_high", "ret_30m", "rsi_14", "ichimoku_chikou")] == ["other_target", "kept", "overlap", "pattern", "looks_ahead"]
+    ok = {(r["target"], r["feature"]): r["reason"] for r in metadata.conditional(features, targets).collect()}
+    assert ok["y_will_peak_30m_0.5", "zigzag_high"] == "lookback" and ok["tth_2h", "rsi_14"] == "ok"
+    asked = spark.createDataFrame([("TTH_2h_x",), ("none",)], "asked string")
+    assert {r["asked"]: r["target"] for r in metadata.resolved(asked, targets).collect()} == {"TTH_2h_x": "tth_2h", "none": None}
 
 
 def test_ring_buffer_is_ready_when_full_and_recent(spark, sf_dir):
