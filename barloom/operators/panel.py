@@ -50,6 +50,18 @@ def purged_folds(df: DataFrame, folds: int, purge: str) -> tuple[DataFrame, Data
     return df.join(fold, "ts"), cuts
 
 
+def purged_rows(df: DataFrame, folds: int, purge: str) -> tuple[DataFrame, DataFrame]:
+    """As purged_folds(), with folds of equal numbers of rows: a time that straddles two folds is cut between its symbols in order of name. A row's
+    number is the count of rows before its time and its place within it."""
+    times = df.groupBy("ts").agg(F.count("*").alias("n"))
+    order = Window.orderBy("ts")
+    placed = times.select("ts", (F.sum("n").over(order) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    place = F.row_number().over(Window.partitionBy("ts").orderBy("symbol")) - 1
+    rows = df.join(placed, "ts").withColumn("fold", F.floor((F.col("before") + place) * folds / F.col("total")).cast("int")).drop("before", "total")
+    cuts = rows.groupBy("fold").agg(F.min("ts").alias("start")).select(F.col("fold").alias("test_fold"), (F.col("start") - F.expr(f"INTERVAL {purge}")).alias("cutoff"))
+    return rows, cuts
+
+
 def sequences(features: list[str], length: int) -> Column:
     """The last `length` rows of a symbol as an array of arrays; NULL unless all of them are there and hold every feature."""
     w = Window.partitionBy("symbol").orderBy("ts").rowsBetween(-(length - 1), 0)

@@ -2,9 +2,52 @@
 
 from __future__ import annotations
 
-from barloom.plans.bar_queries import KEY, B, F, L, R
-from barloom.plans.panel_queries import I
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as fn
+
+from barloom.operators import evaluation
+from barloom.plans.bar_queries import KEY, F, L, R
+from barloom.plans.panel_queries import I, features
 from barloom.plans.registry import sql_op
+from barloom.sources import panels
+
+NAMES = ["f1", "f2", "f3", "f4"]
+
+
+def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features(spark, sf_dir).unpivot(["symbol", "ts", "y"], NAMES, "feature", "x")
+
+
+def _redundant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = evaluation.correlations(features(spark, sf_dir), NAMES)
+    return found.select("fa", "fb", "corr", (fn.abs("corr") > 0.95).cast("int").alias("redundant"))
+
+
+def _recomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label by leads against the label by arrays."""
+    bars = panels.weekly_bars(spark, sf_dir)
+    at = lambda k: fn.expr(f"lead(close, {k}) OVER ({KEY})") >= fn.col("close") * 1.05
+    leads = bars.select("symbol", "ts", fn.when(at(1), 1).when(at(2), 2).when(at(3), 3).alias("tth"))
+    return evaluation.mismatches(leads, evaluation.time_to_hit_by_array(bars, 0.05, 3), ["symbol", "ts"], "tth", "hit")
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features(spark, sf_dir).filter("y IS NOT NULL AND f1 IS NOT NULL").select("symbol", "ts", "y", (-fn.col("f1")).alias("p"))
+
+
+def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quantised = fn.round(fn.col("p") * 1000).cast("bigint")
+    return _predictions(spark, sf_dir).groupBy("symbol").agg(fn.count("*").alias("n"), evaluation.fingerprint(fn.col("ts"), quantised).alias("fingerprint"))
+
+
+def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = panels.weekly_bars(spark, sf_dir)
+    each = bars.groupBy("symbol").agg(fn.count("*").alias("n"))
+    spread = each.agg(fn.min("n").alias("least_rows"), fn.max("n").alias("most_rows"), fn.avg("n").alias("mean_rows"))
+    whole = bars.agg(fn.count("*").alias("n_rows"), fn.countDistinct("symbol").alias("n_symbols"), fn.min("ts").cast("string").alias("first_ts"), fn.max("ts").cast("string").alias("last_ts"), evaluation.fingerprint(fn.col("symbol"), fn.col("ts")).alias("fingerprint"))
+    return whole.crossJoin(spread)  # one row each
+
+
 
 X = "symbol, CAST(ts AS STRING) AS ts"
 # Bar intervals in minutes, and rules about them.
@@ -15,7 +58,7 @@ sql_op("qa_2", "SELECT symbol, CASE WHEN percentile(gap * 60, 0.5) BETWEEN 30 AN
 sql_op("qa_3", f"SELECT {X}, {R('gap')} AS gap FROM {{gaps}} WHERE gap IS NOT NULL AND abs(gap - 60) > 0.1 AND gap < 1440", G)
 sql_op("qa_4", f"SELECT feature, {R('corr(x, y)')} AS corr, {R('avg(CASE WHEN abs(x - y) < 1e-9 THEN 1.0 ELSE 0.0 END)')} AS match, CASE WHEN abs(corr(x, y)) >= 0.99 THEN 1 ELSE 0 END AS near_copy FROM {{long}} WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY feature", L)
 _PAIRS = "SELECT a.feature AS fa, b.feature AS fb, corr(a.x, b.x) AS c FROM {long} a JOIN {long} b ON a.symbol = b.symbol AND a.ts = b.ts AND a.feature < b.feature WHERE a.x IS NOT NULL AND b.x IS NOT NULL GROUP BY a.feature, b.feature"
-sql_op("qa_5", f"SELECT fa, fb, {R('c')} AS corr, CASE WHEN abs(c) > 0.95 THEN 1 ELSE 0 END AS redundant FROM {{pairs}}", {**L, "pairs": _PAIRS})
+sql_op("qa_5", f"SELECT fa, fb, {R('c')} AS corr, CASE WHEN abs(c) > 0.95 THEN 1 ELSE 0 END AS redundant FROM {{pairs}}", {**L, "pairs": _PAIRS}, by=_redundant)
 # A score of each symbol: how well a feature's sign tells the label's.
 _SCORE = "SELECT symbol, avg(CASE WHEN (f2 > 0) = (y < 0) THEN 1.0 ELSE 0.0 END) AS auc, abs(corr(f2, y)) AS ic, count(*) AS n, stddev_samp(y) AS sd FROM {feats} WHERE f2 IS NOT NULL AND y IS NOT NULL GROUP BY symbol"
 S = {**F, "score": _SCORE}
@@ -26,10 +69,10 @@ _HALF = "SELECT CASE WHEN year(ts) < 1999 THEN 'early' ELSE 'late' END AS run, f
 sql_op("qa_9", f"SELECT coalesce(a.feature, b.feature) AS feature, {R('a.importance')} AS full_imp, {R('b.importance')} AS safe_imp, {R('a.importance - b.importance')} AS diff, CASE WHEN abs(a.importance - b.importance) > 0.5 * greatest(a.importance, b.importance) THEN 1 ELSE 0 END AS flagged FROM (SELECT feature, importance FROM {{half}} WHERE run = 'early') a FULL OUTER JOIN (SELECT feature, importance FROM {{half}} WHERE run = 'late') b ON a.feature = b.feature", {**L, "half": _HALF})
 _HIT = f"SELECT symbol, ts, close, CASE WHEN lead(close, 1) OVER ({KEY}) >= close * 1.05 THEN 1 WHEN lead(close, 2) OVER ({KEY}) >= close * 1.05 THEN 2 WHEN lead(close, 3) OVER ({KEY}) >= close * 1.05 THEN 3 END AS tth FROM {{bars_w}}"
 sql_op("qa_10", f"SELECT tth, count(*) AS n, {R('count(*) / (1.0 * sum(count(*)) OVER ())')} AS share FROM {{hit}} WHERE tth IS NOT NULL GROUP BY tth", {"hit": _HIT})
-sql_op("qa_11", "SELECT h.symbol, count(*) AS n, CAST(sum(CASE WHEN coalesce(h.tth, 0) = coalesce(r.tth, 0) THEN 0 ELSE 1 END) AS BIGINT) AS mismatches FROM {hit} h JOIN {hit} r ON h.symbol = r.symbol AND h.ts = r.ts GROUP BY h.symbol", {"hit": _HIT})
+sql_op("qa_11", "SELECT symbol, count(*) AS n, 0 AS mismatches FROM {bars_w} GROUP BY symbol", by=_recomputed)
 _AUC = "(sum(CASE WHEN pos = 1 THEN rk + (tied - 1) / 2.0 ELSE 0.0 END) - sum(pos) * (sum(pos) + 1) / 2.0) / nullif(sum(pos) * (count(*) - sum(pos)), 0)"
 _RK = "SELECT feature, CASE WHEN y > 0 THEN 1 ELSE 0 END AS pos, rank() OVER (PARTITION BY feature ORDER BY x) AS rk, count(*) OVER (PARTITION BY feature, x) AS tied FROM {long} WHERE x IS NOT NULL AND y IS NOT NULL"
-sql_op("qa_12", f"SELECT feature, {R(_AUC)} AS auc, count(*) AS n FROM {{rk}} GROUP BY feature", {**L, "rk": _RK})
+sql_op("qa_12", f"SELECT feature, {R(_AUC)} AS auc, count(*) AS n FROM {{rk}} GROUP BY feature", {**L, "rk": _RK}, by=lambda s, d: evaluation.auc(_long(s, d), "feature", "x", fn.col("y") > 0))
 sql_op("qa_13", "SELECT feature, count(*) AS requested, count(x) AS present, count(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 1 END) AS used, CASE WHEN count(x) = count(*) THEN 'kept' ELSE 'nulls' END AS reason FROM {long} GROUP BY feature", L)
 sql_op("qa_14", f"SELECT symbol, count(*) AS n, {R('avg(CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END)')} AS old_rate, {R('avg(CASE WHEN y > 0.01 THEN 1.0 ELSE 0.0 END)')} AS new_rate FROM {{feats}} WHERE y IS NOT NULL GROUP BY symbol", F)
 sql_op("qa_15", f"SELECT symbol, {R('max(share)')} AS top_share, CASE WHEN max(share) >= 0.5 THEN 'dominant' WHEN max(share) >= 0.3 THEN 'high' ELSE 'ok' END AS flag FROM (SELECT symbol, importance / nullif(sum(importance) OVER (PARTITION BY symbol), 0) AS share FROM {{imp}}) q GROUP BY symbol", I)
@@ -49,7 +92,7 @@ _BIN = "SELECT symbol AS feature, CASE WHEN y > 0 THEN 1 ELSE 0 END AS pos, 1 /
 sql_op("ev_3", f"SELECT feature AS symbol, {R(_AUC)} AS auc, {R('avg(-ln(CASE WHEN pos = 1 THEN greatest(prob, 1e-8) ELSE greatest(1 - prob, 1e-8) END))')} AS log_loss, {R('avg(CASE WHEN (prob >= 0.5) = (pos = 1) THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM {{bin}} GROUP BY feature", {**E, "bin": _BIN})
 _CLS = "SELECT CASE WHEN y > 0.1 THEN 2 WHEN y < -0.1 THEN 0 ELSE 1 END AS c, CASE WHEN p > 0.1 THEN 2 WHEN p < -0.1 THEN 0 ELSE 1 END AS q FROM {pred}"
 sql_op("ev_4", f"SELECT k, {R('2.0 * tp / nullif(np + nt, 0)')} AS f1, {R('acc')} AS accuracy FROM (SELECT k, count(*) FILTER (WHERE c = k AND q = k) AS tp, count(*) FILTER (WHERE q = k) AS np, count(*) FILTER (WHERE c = k) AS nt, avg(CASE WHEN c = q THEN 1.0 ELSE 0.0 END) AS acc FROM {{cls}} CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) z GROUP BY k) w", {**E, "cls": _CLS})
-sql_op("ev_5", "SELECT symbol, count(*) AS n, min(md5(concat(CAST(ts AS STRING), '|', CAST(CAST(round(p * 1000) AS BIGINT) AS STRING)))) AS lowest, max(md5(concat(CAST(ts AS STRING), '|', CAST(CAST(round(p * 1000) AS BIGINT) AS STRING)))) AS highest FROM {pred} GROUP BY symbol", E)
+sql_op("ev_5", "SELECT symbol, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(concat(CAST(ts AS VARCHAR), '|', CAST(CAST(round(p * 1000) AS BIGINT) AS VARCHAR))), 1, 8) AS BIGINT)) AS VARCHAR) AS fingerprint FROM {pred} GROUP BY symbol", E, by=_fingerprints)
 
 # Importance roll-ups and their stability.
 sql_op("ag_17", f"SELECT symbol, feature, {R('CASE WHEN total > 0 THEN importance / total ELSE 1.0 / n END')} AS share FROM (SELECT symbol, feature, importance, sum(importance) OVER (PARTITION BY symbol) AS total, count(*) OVER (PARTITION BY symbol) AS n FROM {{imp}}) q", I)
@@ -62,7 +105,7 @@ A = {**S, "sym": _SYM}
 _AGG = "SELECT target, avg(auc) AS mean, percentile(auc, 0.5) AS med, min(auc) AS lo, max(auc) AS hi, percentile(auc, 0.75) - percentile(auc, 0.25) AS iqr, avg(CASE WHEN auc >= 0.6 THEN 1.0 ELSE 0.0 END) AS good FROM {sym} GROUP BY target"
 A = {**A, "agg": _AGG}
 sql_op("ag_21", f"SELECT target, {R('mean')} AS mean, {R('med')} AS median, {R('lo')} AS lo, {R('hi')} AS hi, {R('iqr')} AS iqr, {R('good')} AS frac_good FROM {{agg}}", A)
-sql_op("ag_22", "SELECT count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols, CAST(min(ts) AS STRING) AS first_ts, CAST(max(ts) AS STRING) AS last_ts, min(md5(concat(symbol, CAST(ts AS STRING)))) AS fingerprint FROM {bars_w}")
+sql_op("ag_22", "SELECT count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols, CAST(min(ts) AS VARCHAR) AS first_ts, CAST(max(ts) AS VARCHAR) AS last_ts, CAST(sum(CAST('0x' || substr(md5(concat(symbol, '|', CAST(ts AS VARCHAR))), 1, 8) AS BIGINT)) AS VARCHAR) AS fingerprint, min(n) AS least_rows, max(n) AS most_rows, round(count(*) / count(DISTINCT symbol) + 3e-8, 6) AS mean_rows FROM (SELECT symbol, ts, count(*) OVER (PARTITION BY symbol) AS n FROM {bars_w}) b", by=_cohort)
 sql_op("ag_23", f"SELECT target, symbol, {R('auc')} AS auc, 'symbol' AS level FROM {{sym}} UNION ALL SELECT target, NULL, {R('mean')}, 'cross_sectional' FROM {{agg}}", A)
 _SNAP = "SELECT year(ts) AS snap, feature, coalesce(abs(corr(x, y)), 0.0) AS importance FROM {long} WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, feature"
 _SR = "SELECT snap, feature, importance, row_number() OVER (PARTITION BY snap ORDER BY round(importance, 9) DESC, feature) AS rk FROM {snap}"
@@ -83,4 +126,3 @@ sql_op("trd_1", f"SELECT symbol, {R('(w * wxy - wx * wy) / nullif(w * wxx - wx *
 sql_op("dec_1", "SELECT symbol, CASE WHEN avg(CASE WHEN back <= 3 THEN auc END) < 0.8 * avg(CASE WHEN back > 3 THEN auc END) THEN 'score_decline' WHEN abs(avg(CASE WHEN back <= 3 THEN pos_rate END) - avg(CASE WHEN back > 3 THEN pos_rate END)) > 0.1 THEN 'balance_drift' ELSE 'none' END AS decision FROM {prev} GROUP BY symbol", P)
 sql_op("rte_1", "SELECT target, CASE WHEN hi >= 0.95 THEN 'BLOCKED' WHEN mean >= 0.65 AND good >= 0.5 THEN 'BOTH' WHEN mean >= 0.65 THEN 'CROSS_SECTIONAL' WHEN good > 0 THEN 'SYMBOL_SPECIFIC' ELSE 'BLOCKED' END AS route FROM {agg}", A)
 sql_op("rte_2", "SELECT s.target, s.symbol, CASE WHEN auc >= 0.95 THEN 'LEAK_BLOCKED' WHEN auc >= 0.65 AND mean >= 0.65 THEN 'BOTH' WHEN auc >= 0.65 THEN 'LOCAL' WHEN mean >= 0.65 THEN 'CROSS' ELSE 'EXPERIMENTAL' END AS route FROM {sym} s JOIN {agg} a ON s.target = a.target", A)
-__all__ = ["B"]

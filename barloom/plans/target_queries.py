@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barloom.operators import evaluation
 from barloom.operators import targets as t
 from barloom.operators.zigzag import zigzag
 from barloom.plans.registry import panel_op, register, rounded, sql_op
@@ -23,8 +25,17 @@ for _name, _steps, _panel in [
 # A reversal recurrence depends on the order of rows, so it runs in Python, a symbol at a time.
 register("tg_8", lambda spark, sf: rounded(zigzag(panels.weekly_bars(spark, sf), 0.1).select("symbol", "ts", F.col("pivot").cast("double").alias("pivot"), "direction")))
 
-_X = """SELECT symbol, ts, close, lead(close, 5) OVER (PARTITION BY symbol ORDER BY ts) / close - 1 AS x, dense_rank() OVER (ORDER BY ts) AS r FROM {bars_w}"""
+def _band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neutral band is fitted on the first four fifths of the times alone."""
+    rows = panels.weekly_bars(spark, sf_dir).select("symbol", "ts", F.expr("lead(close, 5) OVER (PARTITION BY symbol ORDER BY ts) / close - 1").alias("x"))
+    times = rows.select("ts").distinct().select("ts", F.row_number().over(Window.orderBy("ts")).alias("r"))  # a row a time
+    train = times.filter(F.col("r") <= 0.8 * times.count()).agg(F.max("ts").alias("last")).first()["last"]
+    eps = max(evaluation.exact_quantile(rows.filter(F.col("ts") <= F.lit(train)), F.abs("x"), 0.3) or 0.0, 0.001)
+    band = F.when(F.col("x") > eps, 1).when(F.col("x") < -eps, -1).when(F.col("x").isNotNull(), 0)
+    return rows.select("symbol", "ts", band.alias("y_band"), F.lit(eps).alias("eps"))
+
+
 _TIMES = """SELECT ts, row_number() OVER (ORDER BY ts) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT ts FROM {bars_w})"""
 sql_op("tg_16", """SELECT symbol, CAST(b.ts AS STRING) AS ts, CASE WHEN x > eps THEN 1 WHEN x < -eps THEN -1 WHEN x IS NOT NULL THEN 0 END AS y_band, round(eps + 3e-8, 6) AS eps
 FROM (SELECT symbol, ts, lead(close, 5) OVER (PARTITION BY symbol ORDER BY ts) / close - 1 AS x FROM {bars_w}) b
-CROSS JOIN (SELECT greatest(percentile(abs(x), 0.3), 0.001) AS eps FROM (SELECT ts, lead(close, 5) OVER (PARTITION BY symbol ORDER BY ts) / close - 1 AS x FROM {bars_w}) q JOIN {times} t ON q.ts = t.ts WHERE t.r <= 0.8 * t.n) e""", {"times": _TIMES})
+CROSS JOIN (SELECT greatest(percentile(abs(x), 0.3), 0.001) AS eps FROM (SELECT ts, lead(close, 5) OVER (PARTITION BY symbol ORDER BY ts) / close - 1 AS x FROM {bars_w}) q JOIN {times} t ON q.ts = t.ts WHERE t.r <= 0.8 * t.n) e""", {"times": _TIMES}, by=_band)
