@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from barloom.functions.ewm import ewm
-from barloom.functions.portable import KEY, Step, ahead, apply_steps, change, lag, log, over, ratio, roll
+from barloom.functions.ewm import with_means
+from barloom.functions.portable import KEY, Step, apply_steps, change, lag, log, over, ratio, roll
 
 RET = {"ret": change("close")}
 TP = {"tp": "(high + low + close) / 3"}
@@ -35,6 +35,18 @@ _FLOW = TP, {"ptp": lag("tp")}, {"inflow": "CASE WHEN tp > ptp THEN tp * volume
 _ATR = (*_TRUE_RANGE, {"atr_14": roll("avg", "tr", 14)})
 _MFV = {"mfv": ratio("((close - low) - (high - close))", "high - low") + " * volume"}
 
+#: What the products of FT-60 are made of.
+_INPUTS = (
+    {
+        "pc": lag("close"), "d": f"close - {lag('close')}", "m20": roll("avg", "close", 20), "s20": roll("stddev_samp", "close", 20), "gap_co": ratio("open", lag("close")) + " - 1",
+        "volatility_20d": roll("stddev_samp", "ret", 20), "mom_5d": change("close", 5), "mom_20d": change("close", 20), **{f"ret_{n}m": change("close", n) for n in (5, 15, 60)},
+        "stoch_k_14": "100 * " + ratio(f"close - {roll('min', 'low', 14)}", f"{roll('max', 'high', 14)} - {roll('min', 'low', 14)}"),
+        "gain": f"CASE WHEN {lag('close')} IS NOT NULL THEN greatest(close - {lag('close')}, 0.0) END", "loss": f"CASE WHEN {lag('close')} IS NOT NULL THEN greatest({lag('close')} - close, 0.0) END",
+        "tr": f"CASE WHEN {lag('close')} IS NULL THEN high - low ELSE greatest(high - low, abs(high - {lag('close')}), abs(low - {lag('close')})) END",
+    },
+    {"bb_width_20": ratio("4 * s20", "m20"), "atr_14": roll("avg", "tr", 14), **_rsi(14)},
+)
+
 #: Each feature group's chain; the last step's columns are the features unless SHOWN says otherwise.
 CHAINS: dict[str, tuple[Step, ...]] = {
     "FT-1": ({"range_frac": "high - low"},),
@@ -91,8 +103,43 @@ CHAINS: dict[str, tuple[Step, ...]] = {
     "FT-57": ({"hour_of_day": "hour(ts)", "day_of_week": "(weekday(ts))", "day_of_month": "day(ts)", "month_of_year": "month(ts)", "quarter": "quarter(ts)", "year": "year(ts)", "is_month_end": "CASE WHEN day(ts) >= 28 THEN 1 ELSE 0 END", "is_quarter_end": "CASE WHEN month(ts) IN (3, 6, 9, 12) AND day(ts) >= 28 THEN 1 ELSE 0 END"},),
     "FT-58": ({"intraday_seasonality": "CASE WHEN hour(ts) IN (9, 10, 15) THEN 1.0 ELSE 0.5 END", "weekly_seasonality": "CASE WHEN (weekday(ts)) IN (0, 4) THEN 1.0 ELSE 0.5 END", "monthly_seasonality": "CASE WHEN month(ts) IN (1, 12) THEN 1.0 ELSE 0.5 END", "quarterly_seasonality": "CASE WHEN quarter(ts) IN (1, 4) THEN 1.0 ELSE 0.5 END", "holiday_effect": "CASE WHEN month(ts) = 12 THEN 1.0 ELSE 0.5 END"},),
     "FT-59": (RET, {"mkt": "avg(ret) OVER (PARTITION BY ts)", "dv": "close * volume"}, {"relative_performance": "ret - mkt", "beta_60": ratio(roll("covar_samp", "ret, mkt", 60).replace("count(ret, mkt)", "count(ret)"), roll("var_samp", "mkt", 60)), "market_correlation_60": roll("corr", "ret, mkt", 60).replace("count(ret, mkt)", "count(ret)"), "market_cap_decile": "ntile(10) OVER (PARTITION BY ts ORDER BY dv, symbol)"}),
-    "FT-60": (RET, {"vol5": roll("stddev_samp", "ret", 5), "mom5": change("close", 5)}, {"ret2_1m": "ret * ret", "vol_x_ret": "vol5 * ret", "ret_x_mom": "ret * mom5", "vol_x_mom": "vol5 * mom5", "hour_x_volume": "hour(ts) * volume", "gap_x_volume": f"({ratio('open', lag('close'))} - 1) * volume"}),
-    "FT-61": (RET, {"s5": roll("avg", "close", 5), "s20": roll("avg", "close", 20), "v5": roll("stddev_samp", "ret", 5), "v20": roll("stddev_samp", "ret", 20)}, {"sma_ratio_5_20": ratio("s5", "s20"), "price_ma_ratio": ratio("close", "s20"), "vol_ratio_5_20": ratio("v5", "v20"), "ret_vol_ratio_20": ratio("ret", "v20")}),
+    "FT-60": (
+        RET,
+        _INPUTS[0],
+        _INPUTS[1],
+        {
+            **{f"ret2_{n}m": f"ret_{n}m * ret_{n}m" for n in (5, 15, 60)},
+            **{f"vol_x_ret_{n}m": f"volume * ret_{n}m" for n in (5, 15, 60)},
+            "ret_x_mom_5d": "ret_5m * mom_5d",
+            "ret_x_mom_20d": "ret_5m * mom_20d",
+            "vol_x_mom_5d": "volume * mom_5d",
+            "vol_x_mom_20d": "volume * mom_20d",
+            "rsi_x_vol": "rsi_14 * volume",
+            "bb_x_vol": "bb_width_20 * volume",
+            "bb_x_ret": "bb_width_20 * ret_5m",
+            "stoch_x_vol": "stoch_k_14 * volume",
+            "stoch_x_ret": "stoch_k_14 * ret_5m",
+            "atr_x_vol": "atr_14 * volume",
+            "momentum_x_vol": "mom_5d * volume",
+            "roc_x_vol": "mom_5d * volume",
+            "momentum_x_volatility": "mom_5d * volatility_20d",
+            "roc_x_volatility": "mom_5d * volatility_20d",
+            "hour_x_volume": "hour(ts) * volume",
+            "day_x_volume": "(weekday(ts)) * volume",
+            "price_x_volume": "close * volume",
+            "gap_x_volume": "gap_co * volume",
+        },
+    ),
+    "FT-61": (
+        RET,
+        _each(lambda n: {f"s{n}": roll("avg", "close", n)}, (5, 10, 20, 50)) | _each(lambda n: {f"v{n}": roll("stddev_samp", "ret", n)}, (5, 20, 60)),
+        {
+            **{f"sma_ratio_{a}_{b}": ratio(f"s{a}", f"s{b}") for a, b in ((5, 20), (10, 20), (10, 50), (20, 50))},
+            "price_ma_ratio": ratio("close", "s20"),
+            **{f"vol_ratio_{a}_{b}": ratio(f"v{a}", f"v{b}") for a, b in ((5, 20), (20, 60))},
+            "ret_vol_ratio_20": ratio("ret", "v20"),
+        },
+    ),
     "RG-1": ({"rn": f"row_number() OVER ({KEY})"}, {"trend_strength": f"CASE WHEN count(close) {over(49)} >= 2 THEN corr(close, rn) {over(49)} END"}),
 }
 _VOLZ = RET, {"v20": roll("stddev_samp", "ret", 20)}, {"vol_z": f"(v20 - avg(v20) {over(199)}) / (stddev_samp(v20) {over(199)} + 1e-8)"}
@@ -108,10 +155,24 @@ CHAINS |= {
 
 #: Means that need the exponentially weighted operator: group to (steps before, name -> (column, span), steps after).
 EWM: dict[str, tuple[tuple[Step, ...], tuple[dict[str, tuple[str, int]], ...], tuple[Step, ...]]] = {
-    "FT-12": ((), ({f"ema_{n}": ("close", n) for n in (5, 10, 20)} | {f"kama_{n}": ("close", n) for n in (5, 10, 20)},), ()),
-    "FT-14": ((), ({"e5": ("close", 5), "e10": ("close", 10)}, {"f5": ("e5", 5), "f10": ("e10", 10)}, {"g5": ("f5", 5), "g10": ("f10", 10)}), ({f"dema_{n}": f"2 * e{n} - f{n}" for n in (5, 10)} | {f"tema_{n}": f"3 * e{n} - 3 * f{n} + g{n}" for n in (5, 10)},)),
-    "FT-17": ((), ({"e12": ("close", 12), "e26": ("close", 26)},), ({"macd": "e12 - e26"},)),
+    "FT-12": ((), ({f"ema_{n}": ("close", n) for n in (5, 10, 20, 50)} | {f"kama_{n}": ("close", n) for n in (5, 10, 20)},), ()),
+    "FT-14": (
+        (),
+        ({f"e{n}": ("close", n) for n in (5, 10, 20)}, {f"f{n}": (f"e{n}", n) for n in (5, 10, 20)}, {f"g{n}": (f"f{n}", n) for n in (5, 10, 20)}),
+        ({f"dema_{n}": f"2 * e{n} - f{n}" for n in (5, 10, 20)} | {f"tema_{n}": f"3 * e{n} - 3 * f{n} + g{n}" for n in (5, 10, 20)},),
+    ),
+    # The mean of a difference is the difference of the means, so the signal line is made of the means' means.
+    "FT-17": (
+        (),
+        ({"e12": ("close", 12), "e26": ("close", 26)}, {"s12": ("e12", 9), "s26": ("e26", 9)}),
+        ({"macd": "e12 - e26", "macd_signal": "s12 - s26", "macd_hist": "e12 - e26 - s12 + s26"},),
+    ),
     "FT-35": (({**_MFV, "pc": lag("close")}, {"cmf": ratio(roll("sum", "mfv", 20), roll("sum", "volume", 20)), "obv": f"CAST(sum(CASE WHEN close > pc THEN volume WHEN close < pc THEN -volume ELSE 0 END) {over()} AS DOUBLE)"}), ({"e3": ("mfv", 3), "ad_line_ema": ("mfv", 10), "cmf_ema": ("cmf", 10), "obv_ema": ("obv", 10)},), ({"chaikin_oscillator": "e3 - ad_line_ema", "ad_line_ema": "ad_line_ema", "cmf_ema": "cmf_ema", "obv_ema": "obv_ema"},)),
+    "FT-61-EMA": (
+        (),
+        ({f"e{n}": ("close", n) for n in (5, 10, 20, 50)},),
+        ({**{f"ema_ratio_{a}_{b}": ratio(f"e{a}", f"e{b}") for a, b in ((5, 20), (10, 20), (10, 50), (20, 50))}, "price_ema_ratio": ratio("close", "e20")},),
+    ),
     "FT-39": (({"v": "CAST(volume AS DOUBLE)"},), ({f"volume_ema_{n}": ("v", n) for n in (5, 20)},), ()),
 }
 CATEGORIES = {"price": range(1, 11), "technical": range(11, 37), "volume": range(37, 44), "volatility": range(44, 48), "microstructure": range(48, 53), "time": range(53, 59), "cross": range(59, 60), "interaction": range(60, 62)}
@@ -132,7 +193,7 @@ def add_group(bars: DataFrame, group: str) -> DataFrame:
         before, means, after = EWM[group]
         df = apply_steps(bars, *before)
         for level in means:
-            df = df.withColumns({name: ewm(x, span) for name, (x, span) in level.items()})
+            df = with_means(df, level)
         df = apply_steps(df, *after)
     else:
         df = apply_steps(bars, *CHAINS[group])
@@ -141,11 +202,10 @@ def add_group(bars: DataFrame, group: str) -> DataFrame:
 
 def build_features(bars: DataFrame, categories: list[str]) -> DataFrame:
     """bars with all features of the categories, in the order given (FT-62). Windows of one symbol share a shuffle and a sort."""
-    groups = [f"FT-{n}" for c in categories for n in CATEGORIES[c] if f"FT-{n}" in CHAINS or f"FT-{n}" in EWM]
+    groups = [g for c in categories for n in CATEGORIES[c] for g in (f"FT-{n}", f"FT-{n}-EMA") if g in CHAINS or g in EWM]
     df = bars
     for group in groups:
         df = df.transform(add_group, group)
     return df
 
 
-__all__ = ["CATEGORIES", "CHAINS", "EWM", "add_group", "ahead", "build_features", "shown"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from barloom.functions.portable import KEY, Step, ahead, apply_steps, change, lag, over, ratio, roll
+from barloom.functions.portable import KEY, Step, ahead, apply_steps, change, lag, over, ratio
 
 VOL_WINDOW, MIN_PERIODS = 20, 5
 
@@ -110,15 +110,25 @@ def excess_return(h: int, n: int = 60, bfill: bool = False) -> tuple[Step, ...]:
     return *rolling_beta(n), *fill, {"resid": "ret - beta * mkt"}, {"excess_ret": ahead("sum", "resid", h)}
 
 
-def grid(horizons: tuple[int, ...], sizes: tuple[float, ...], pairs: tuple[tuple[float, float], ...]) -> tuple[Step, ...]:
-    """First-touch labels of every horizon and size and every take:stop pair, in one sort."""
-    hits, labels = {}, {}
+def grid(horizons: tuple[int, ...], sizes: tuple[float, ...], pairs: tuple[tuple[float, float], ...], thresholds: tuple[float, ...] = (0.001, 0.002, 0.005), reversals: tuple[float, ...] = (0.05, 0.1, 0.2), side: int = 3) -> tuple[Step, ...]:
+    """Labels of every horizon with every barrier size, take:stop pair, excursion threshold and reversal, in one sort. A swing's label asks of the
+    path that the bar turns by the reversal within it, beyond its neighbours on `side` sides; horizons too short for both sides have none."""
+    hits, labels = zigzag_swing(2 * side + 1, side)[0] | {}, {}
+    wide = [h for h in horizons if h > 2 * side]
     for h in horizons:
         hits[f"ready_{h}"] = f"vol > 0 AND count(close) {over(-1, h)} = {h}"
+        hits[f"top_{h}"], hits[f"bottom_{h}"] = ahead("max", "close", h), ahead("min", "close", h)
         for name, up, down in [(f"y_first_touch_{h}_{i}", k, k) for i, k in enumerate(sizes)] + [(f"hit_asym_{h}_{i}", a, b) for i, (a, b) in enumerate(pairs)]:
             hits[f"u_{name}"] = first_hit(lambda p, up=up: f"{p} >= close * (1 + {up} * vol)", h)
             hits[f"d_{name}"] = first_hit(lambda p, down=down: f"{p} <= close * (1 - {down} * vol)", h)
             labels[name] = FIRST.replace("ready", f"ready_{h}").replace("up_at", f"u_{name}").replace("down_at", f"d_{name}")
+        for i, t in enumerate(thresholds):
+            labels[f"y_will_peak_mfe_{h}_{i}"] = f"CASE WHEN top_{h} >= close * (1 + {t}) THEN 1 WHEN top_{h} IS NOT NULL THEN 0 END"
+            labels[f"y_will_valley_mdd_{h}_{i}"] = f"CASE WHEN bottom_{h} <= close * (1 - {t}) THEN 1 WHEN bottom_{h} IS NOT NULL THEN 0 END"
+        for i, r in enumerate(reversals if h in wide else ()):
+            inner = over(-(1 + side), h - side)
+            labels[f"y_will_swing_high_{h}_{i}"] = f"CASE WHEN top_{h} IS NOT NULL THEN CASE WHEN max(peak) {inner} = 1 AND bottom_{h} <= top_{h} * (1 - {r}) THEN 1 ELSE 0 END END"
+            labels[f"y_will_swing_low_{h}_{i}"] = f"CASE WHEN top_{h} IS NOT NULL THEN CASE WHEN max(pit) {inner} = 1 AND top_{h} >= bottom_{h} * (1 + {r}) THEN 1 ELSE 0 END END"
     return *volatility(), hits, labels
 
 
@@ -126,5 +136,3 @@ def add_labels(bars: DataFrame, *steps: Step) -> DataFrame:
     """bars and the last step's columns of a chain of this module."""
     return apply_steps(bars, *steps).select(*bars.columns, *(c for c in steps[-1] if c not in bars.columns))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["roll"]

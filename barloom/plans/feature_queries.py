@@ -41,5 +41,18 @@ def _ewm_op(group: str) -> None:
 for _group in features.EWM:
     _ewm_op(_group)
 
-_SET = ("FT-37", "FT-38", "FT-40")
-panel_op("ft_62", [c for g in _SET for c in features.shown(g)], *(s for g in _SET for s in features.CHAINS[g]))
+# A builder's columns by category: what build_features makes of the names, against the chains one after another.
+_VOLUME = [f"FT-{n}" for n in features.CATEGORIES["volume"] if f"FT-{n}" in features.CHAINS]
+_SHOWN = [c for g in ("FT-37", "FT-38", "FT-40", "FT-41", "FT-42") for c in features.shown(g)]
+
+
+def _built_sql() -> str:
+    inner, held = f"({panels.BARS_W})", list(panels.BAR_COLUMNS)
+    for group in _VOLUME:
+        inner = steps_sql(inner, held, *features.CHAINS[group])
+        held += [c for c in features.shown(group) if c not in held]
+        inner = f"(SELECT {', '.join(held)} FROM {inner})"
+    return translated(f"SELECT symbol, CAST(ts AS VARCHAR) AS ts, {', '.join(f'round(CAST({c} AS DOUBLE) + {NUDGE}, 6) + 0.0 AS {c}' for c in _SHOWN)} FROM {inner}")
+
+
+register("ft_62", lambda spark, sf: rounded(features.build_features(panels.weekly_bars(spark, sf), ["volume"]).select("symbol", "ts", *(F.col(c).cast("double").alias(c) for c in _SHOWN))), _built_sql())

@@ -14,7 +14,7 @@ from barloom.sources import panels
 H = 5
 for _name, _steps, _panel in [
     ("tg_1", t.barrier(H), "bars_w"), ("tg_2", t.time_to_hit(H), "bars_w"), ("tg_3", t.asymmetric(H, 1.0, 0.5), "bars_w"), ("tg_4", t.excursions(H), "bars_w"),
-    ("tg_5", t.ordinal(H), "bars_w"), ("tg_6", t.path_quality(H), "bars_w"), ("tg_7", t.zigzag_swing(12), "bars_w"), ("tg_9", t.grid((3, 6), (0.3, 0.5, 0.8), ((1.0, 0.5), (0.5, 1.0))), "bars_w"),
+    ("tg_5", t.ordinal(H), "bars_w"), ("tg_6", t.path_quality(H), "bars_w"), ("tg_7", t.zigzag_swing(12), "bars_w"), ("tg_9", t.grid((3, 6, 12), (0.3, 0.5, 0.8), ((1.0, 0.5), (0.5, 1.0))), "bars_w"),
     ("tg_10", t.forward_returns((3, 6, 12, 24), "fwd_ret_hft"), "bars_w"), ("tg_11", t.session_return(), "bars_h"), ("tg_12", t.session_forward(3), "bars_h"),
     ("tg_13", t.forward_returns((1, 5, 20)), "bars_w"), ("tg_14", t.rolling_beta(), "bars_w"), ("tg_15", t.excess_return(H), "bars_w"),
 ]:

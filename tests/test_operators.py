@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  registers the queries
-from barloom.functions.ewm import ewm
+from barloom.functions.ewm import with_means
 from barloom.functions.portable import apply_steps
 from barloom.operators import features, metadata, targets
 from barloom.operators.zigzag import zigzag
@@ -59,12 +59,25 @@ def test_features_do_not_look_ahead(spark):
 
 def test_ewm_is_adjusted_and_skips_nulls(spark):
     x = [1.0, None, 3.0, 4.0, None, 2.0, 8.0]
-    df = spark.createDataFrame([("A", i, v) for i, v in enumerate(x)], "symbol string, ts long, x double").withColumn("e", ewm("x", 5))
+    df = spark.createDataFrame([("A", i, v) for i, v in enumerate(x)], "symbol string, ts long, x double")
+    df = with_means(df.union(df.selectExpr("'B'", "ts", "2 * x")), {"e": ("x", 5)}).filter("symbol = 'A'")
     expected = pd.Series(x).ewm(span=5, adjust=True).mean()
     for got, want, v in zip(column(df, "e"), expected, x, strict=True):
         assert (got is None) if v is None else got == pytest.approx(want, rel=1e-9)
 
 
+def test_ewm_carries_over_batches(spark):
+    x = np.random.default_rng(3).normal(size=4000)
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        df = spark.createDataFrame([(s, i, float(v)) for s in "AB" for i, v in enumerate(x)], "symbol string, ts long, x double")
+        got = column(with_means(df, {"e": ("x", 20)}).filter("symbol = 'B'"), "e")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    assert got == pytest.approx(pd.Series(x).ewm(span=20, adjust=True).mean().tolist(), rel=1e-9)
+
+
 def test_zigzag(spark):
     found = zigzag(bars(spark, [100, 111, 120, 100, 90, 105]), 0.1).orderBy("ts").collect()
     assert [r["direction"] for r in found] == [0, 1, 1, -1, -1, 1]
