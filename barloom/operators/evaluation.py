@@ -39,8 +39,8 @@ def auc(df: DataFrame, by: str, x: str, positive: Column) -> DataFrame:
     """by, auc, n: the share of pairs of a positive and a negative row that x orders rightly, ties half. Values are dealt into BUCKETS near-equal
     buckets of each series; counts before a bucket and within it add up to exact ranks, so no task holds a series."""
     counts = df.select(by, F.col(x).alias("x"), positive.cast("int").alias("pos")).filter("x IS NOT NULL AND pos IS NOT NULL").groupBy(by, "x").agg(F.count("*").alias("n"), F.sum("pos").alias("pos"))
-    bounds = counts.groupBy(F.col(by).alias("k")).agg(F.percentile_approx("x", F.array(*(F.lit(i / BUCKETS) for i in range(1, BUCKETS))), 10_000).alias("bounds"))
-    dealt = counts.join(bounds, F.col(by) == F.col("k")).select(by, "x", "n", "pos", F.size(F.filter("bounds", lambda b: b < F.col("x"))).alias("bucket"))
+    bounds = counts.groupBy(F.col(by).alias("series_of_bounds")).agg(F.percentile_approx("x", F.array(*(F.lit(i / BUCKETS) for i in range(1, BUCKETS))), 10_000).alias("bounds"))
+    dealt = counts.join(bounds, F.col(by) == F.col("series_of_bounds")).select(by, "x", "n", "pos", F.size(F.filter("bounds", lambda b: b < F.col("x"))).alias("bucket"))
     order = Window.partitionBy(by, "bucket").orderBy("x")
     inner = dealt.withColumn("neg", F.col("n") - F.col("pos")).withColumn("before", F.sum("neg").over(order) - F.col("neg"))
     parts = inner.groupBy(by, "bucket").agg(F.sum(F.col("pos") * (F.col("before") + F.col("neg") / 2)).alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))

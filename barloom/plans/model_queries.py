@@ -25,7 +25,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("ev_6", lambda s, d: rounded(models.importances(labelled(s, d), FEATURES, "y")))
 register("ev_7", lambda s, d: rounded(models.evaluate_target(labelled(s, d), FEATURES, "y")))
-register("rg_7", lambda s, d: rounded(models.latent_regimes(labelled(s, d), FEATURES).groupBy("symbol", "regime").agg(F.count("*").alias("n"))))
+register("ev_7_views", lambda s, d: rounded(models.views(labelled(s, d), FEATURES, "y")))
+register("rg_7", lambda s, d: rounded(models.regime_forecasts(labelled(s, d), FEATURES, "y").groupBy("symbol", "regime").agg(F.count("*").alias("n"), F.avg("prediction").alias("mean_prediction"))))
 register("rg_8", lambda s, d: rounded(models.change_points(labelled(s, d), FEATURES, "y").groupBy("symbol", "regime").agg(F.count("*").alias("n"), F.avg("prediction").alias("mean_prediction"))))
 register("trd_2", lambda s, d: rounded(models.ridge_forecast(runs(s, d), "auc")))
 

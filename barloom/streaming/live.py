@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +30,15 @@ def sessions(ticks: DataFrame, gap: str = "6 hours", late: str = "1 hour") -> Da
     return found.select("symbol", F.col("span.start").alias("start"), F.col("span.end").alias("end"), "n", "volume")
 
 
-def ring_buffer(ticks: DataFrame, length: int = 8, ttl_seconds: float = TTL_SECONDS) -> DataFrame:
-    """The last `length` finite prices of each symbol after each batch, and whether they make a full and recent sequence. State is one
-    list of `length` numbers a symbol; a symbol's rows of a batch arrive in blocks."""
+def ring_buffer(ticks: DataFrame, length: int = 8, ttl_seconds: float = TTL_SECONDS, late: str = "1 hour") -> DataFrame:
+    """The last `length` finite prices of each symbol after each batch, and whether they make a full and recent sequence. State is one list of
+    `length` numbers a symbol; once the watermark is `ttl_seconds` past its newest row the buffer is dropped and reported empty."""
 
     def push(key: tuple, blocks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame({"symbol": [key[0]], "prices": [[]], "ready": [False], "last_at": [None]})
+            return
         rows = [tuple(r) for r in (state.get[0] if state.exists else [])]
         newest = 0.0
         for pdf in blocks:
@@ -42,11 +46,13 @@ def ring_buffer(ticks: DataFrame, length: int = 8, ttl_seconds: float = TTL_SECO
             newest = max(newest, float(pdf["at"].max()))
             rows = sorted([*rows, *zip(held["at"].tolist(), held["tie"].tolist(), held["price"].tolist(), strict=True)])[-length:]
         state.update(([list(map(float, r)) for r in rows],))
+        kept = rows[-1][0] if rows else newest
+        state.setTimeoutTimestamp(max(int((kept + ttl_seconds) * 1000), state.getCurrentWatermarkMs() + 1))
         ready = len(rows) == length and newest - rows[-1][0] <= ttl_seconds
         yield pd.DataFrame({"symbol": [key[0]], "prices": [[r[2] for r in rows]], "ready": [ready], "last_at": [rows[-1][0] if rows else None]})
 
-    held = ticks.select("symbol", F.col("ts").cast("timestamp").cast("double").alias("at"), "price", F.col("tie.event_id").cast("double").alias("tie"))
-    return held.groupBy("symbol").applyInPandasWithState(push, "symbol string, prices array<double>, ready boolean, last_at double", "rows array<array<double>>", "update", GroupStateTimeout.NoTimeout)
+    held = ticks.withWatermark("ts", late).select("symbol", "ts", F.col("ts").cast("timestamp").cast("double").alias("at"), "price", F.col("tie.event_id").cast("double").alias("tie"))
+    return held.groupBy("symbol").applyInPandasWithState(push, "symbol string, prices array<double>, ready boolean, last_at double", "rows array<array<double>>", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def ksigma_snapshot(bars: DataFrame, k: float = 2.33) -> DataFrame:
@@ -58,26 +64,28 @@ def ksigma_snapshot(bars: DataFrame, k: float = 2.33) -> DataFrame:
     return held.select("symbol", "ts", ((clipped - F.col("stats.m")) / (F.col("stats.s") + 1e-8)).alias("z"))
 
 
-def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of ticks."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    source = f"{sf_dir}/events.parquet" if _is_folder(spark, f"{sf_dir}/events.parquet") else f"{sf_dir}/event[s].parquet"
-    events = spark.readStream.schema(schema).parquet(source)
-    return events.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"), F.get_json_object("props", "$.k").cast("double").alias("size"), F.struct("event_id").alias("tie"))
+def replayed(spark: SparkSession, sf_dir: str, folder: str, parts: int = 4) -> DataFrame:
+    """The events table as a stream of ticks in order of time: it is cut into parts at even times, each written after the one before it, and read a
+    part a trigger. The last part holds rows of the first once more at ten times their price, which come too late for any watermark."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = (r.timestamp() for r in events.agg(F.min("ts"), F.max("ts")).first())
+    at, root = F.col("ts").cast("double"), f"{folder}/ticks-{uuid.uuid4().hex}"
+    edges = [low + (high - low) * k / parts for k in range(parts)] + [high + 1]
+    for a, b in zip(edges, edges[1:], strict=False):
+        events.filter((at >= a) & (at < b)).coalesce(1).write.mode("append").parquet(root)
+    events.filter(at < low + (high - low) / 10).withColumn("value", F.col("value") * 10).coalesce(1).write.mode("append").parquet(root)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(root)
+    return source.select(F.col("event_type").alias("symbol"), "ts", F.col("value").alias("price"), F.get_json_object("props", "$.k").cast("double").alias("size"), F.struct("event_id").alias("tie"))
 
 
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
-
-
-def drained(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
-    """All rows that the stream gives for what is there now, written to a folder by foreachBatch and read again."""
+def drained(stream: DataFrame, folder: str, mode: str = "append", each: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> DataFrame:
+    """All rows that the stream gives for what is there now, each batch put through `each`, written by foreachBatch and read again with its number.
+    A batch that is run again replaces what it wrote."""
     name = f"{folder}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{name}/out/number={number}")
+        each(batch).write.mode("overwrite").parquet(f"{name}/out/number={number}")
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{name}/state").trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return stream.sparkSession.read.parquet(f"{name}/out").drop("batch")
+    return stream.sparkSession.read.parquet(f"{name}/out")

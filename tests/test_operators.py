@@ -106,10 +106,19 @@ def test_names_decide_what_may_be_used(spark):
     assert {r["asked"]: r["target"] for r in metadata.resolved(asked, targets).collect()} == {"TTH_2h_x": "tth_2h", "none": None}
 
 
-def test_ring_buffer_is_ready_when_full_and_recent(spark, sf_dir):
-    rows = registry.QUERIES["str_2"](spark, sf_dir).collect()
-    assert rows and all(r["n"] <= 8 for r in rows)
-    assert live.TTL_SECONDS == 300
+def test_ring_buffer_fills_and_is_dropped_when_quiet(spark, tmp_path):
+    at = lambda minutes: f"2024-01-01 {minutes // 60:02d}:{minutes % 60:02d}:00"
+    batches = [[("A", at(i), 1.0 + i, i) for i in range(5)] + [("B", at(2), float("nan"), 90)], [("B", at(300 + i), 2.0 + i, 100 + i) for i in range(3)], [("B", at(310), 9.0, 200), ("A", at(1), 99.0, 300)]]
+    for rows in batches:
+        df = spark.createDataFrame(rows, "symbol string, ts string, price double, event_id long").withColumn("ts", F.to_timestamp("ts"))
+        df.select("symbol", "ts", "price", F.struct("event_id").alias("tie")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{tmp_path}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    found = live.drained(live.ring_buffer(stream, 3, 600.0, "10 minutes"), str(tmp_path), "update").collect()
+    by = {}
+    for r in sorted(found, key=lambda r: r["number"]):
+        by.setdefault(r["symbol"], []).append((r["prices"], r["ready"]))
+    assert by["A"][0] == ([3.0, 4.0, 5.0], True) and ([], False) in by["A"][1:]
+    assert by["B"][-1] == ([3.0, 4.0, 9.0], True)
 
 
 def test_empty_bars(spark):
