@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as fn
 
-from barloom.functions.portable import apply_steps, change, lag, ratio, roll
+from barloom.functions.portable import apply_steps, change, lag, over, ratio
 from barloom.operators import evaluation, panel
 from barloom.plans.bar_queries import KEY, TS, F, L, R
 from barloom.plans.registry import sql_op
@@ -14,9 +14,8 @@ from barloom.sources import panels
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly bars with four features and the return of the next five bars."""
-    steps = {"f1": change("close"), "f2": change("close", 5), "f3": ratio("volume", roll("avg", "volume", 20)), "f4": ratio("high - low", "close"), "y": ratio(lag("close", -5), "close") + " - 1"}
-    df = apply_steps(panels.weekly_bars(spark, sf_dir), steps)
-    return df.withColumn("f3", fn.expr(f"volume / nullif(avg(volume) OVER ({KEY} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0)"))
+    steps = {"f1": change("close"), "f2": change("close", 5), "f3": "volume / nullif(avg(volume) " + over(19) + ", 0)", "f4": ratio("high - low", "close"), "y": ratio(lag("close", -5), "close") + " - 1"}
+    return apply_steps(panels.weekly_bars(spark, sf_dir), steps)
 
 
 def _capped(spark: SparkSession, sf_dir: str) -> DataFrame:

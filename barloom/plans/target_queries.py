@@ -8,20 +8,28 @@ from pyspark.sql import functions as F
 from barloom.operators import evaluation
 from barloom.operators import targets as t
 from barloom.operators.zigzag import zigzag
-from barloom.plans.registry import panel_op, register, rounded, sql_op
+from barloom.plans.registry import NUDGE, panel_op, register, rounded, sql_op, translated
 from barloom.sources import panels
 
 H = 5
 for _name, _steps, _panel in [
     ("tg_1", t.barrier(H), "bars_w"), ("tg_2", t.time_to_hit(H), "bars_w"), ("tg_3", t.asymmetric(H, 1.0, 0.5), "bars_w"), ("tg_4", t.excursions(H), "bars_w"),
     ("tg_5", t.ordinal(H), "bars_w"), ("tg_6", t.path_quality(H), "bars_w"), ("tg_7", t.zigzag_swing(12), "bars_w"), ("tg_9", t.grid((3, 6, 12), (0.3, 0.5, 0.8), ((1.0, 0.5), (0.5, 1.0))), "bars_w"),
-    ("tg_10", t.forward_returns((3, 6, 12, 24), "fwd_ret_hft"), "bars_w"), ("tg_11", t.session_return(), "bars_h"), ("tg_12", t.session_forward(3), "bars_h"),
+    ("tg_10", t.forward_returns((3, 6, 12, 24), "fwd_ret_hft"), "bars_w"), ("tg_11", t.session_return(), "bars_h"),
     ("tg_13", t.forward_returns((1, 5, 20)), "bars_w"), ("tg_14", t.rolling_beta(), "bars_w"), ("tg_15", t.excess_return(H), "bars_w"),
 ]:
     if _name == "tg_5":  # a volatility of almost zero gives scores beyond a double's exact places
         _steps = (*_steps, {"ret_ord": "ret_ord", "ret_zscore": "least(greatest(ret_zscore, -1e6), 1e6)"})  # noqa: PLW2901
     panel_op(_name, list(_steps[-1]), *_steps, panel=_panel)
 
+# Rows without a bar of the same day that far ahead have no label and go.
+_STEPS = t.session_forward(3)
+register("tg_12", lambda spark, sf: rounded(t.add_labels(panels.hourly_bars(spark, sf), *_STEPS).filter("fwd_ret_session IS NOT NULL").select("symbol", "ts", *_STEPS[-1])), translated(
+    "SELECT symbol, CAST(ts AS VARCHAR) AS ts, " + ", ".join(f"round({c} + {NUDGE}, 6) AS {c}" for c in ("close_t", "close_tph", "fwd_ret_session")) + f""", 3 AS horizon_bars
+FROM (SELECT a.symbol, a.ts, a.close AS close_t, b.close AS close_tph, greatest(least(b.close / nullif(a.close, 0) - 1, 0.2), -0.2) AS fwd_ret_session
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i FROM ({panels.BARS_H})) a JOIN (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i FROM ({panels.BARS_H})) b
+  ON a.symbol = b.symbol AND b.i = a.i + 3 AND CAST(a.ts AS DATE) = CAST(b.ts AS DATE)) q WHERE fwd_ret_session IS NOT NULL"""))
+
 # A reversal recurrence depends on the order of rows, so it runs in Python, a symbol at a time.
 register("tg_8", lambda spark, sf: rounded(zigzag(panels.weekly_bars(spark, sf), 0.1).select("symbol", "ts", F.col("pivot").cast("double").alias("pivot"), "direction")))
 
