@@ -20,6 +20,16 @@ def asof_join(base: DataFrame, slow: DataFrame, columns: list[str], delay_minute
     return found.select("_row.*", *(F.when(fresh, F.col(f"_held.{c}")).alias(c) for c in columns))
 
 
+def resampled(bars: DataFrame, minutes: int) -> DataFrame:
+    """Finer bars to bars of so many minutes, cut at whole multiples since the epoch: first open, highest high, lowest low, last close, volume, the mean of
+    their vwaps and how many there were. Counts combine before the one shuffle."""
+    width = 60 * minutes
+    start = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / width) * width)
+    return bars.groupBy("symbol", start.alias("at")).agg(
+        F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "ts").alias("close"),
+        F.sum("volume").alias("volume"), F.avg("vwap").alias("vwap_mean"), F.count("*").alias("n_bars")).withColumnRenamed("at", "ts")
+
+
 def zscore(x: str, least: int = 10) -> Column:
     """x against its cross-section; untouched where that has fewer than `least` values."""
     w = Window.partitionBy("ts")

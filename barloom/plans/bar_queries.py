@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as fn
 
 from barloom.operators import panel
-from barloom.plans.registry import sql_op
+from barloom.plans.registry import register, rounded, sql_op
 from barloom.sources import bars, panels
 from barloom.sources.scratch import fresh_folder
 
@@ -148,7 +148,8 @@ _OHLC = f"min_by(open, ts) AS open, max(high) AS high, min(low) AS low, max_by(c
 _DAILY = f"SELECT symbol, date_trunc('day', ts) AS ts, {_OHLC}, avg(vwap) AS vwap, min_by(n_trades, ts) AS first_trades FROM {{bars_h}} GROUP BY 1, 2"
 _SHOW = f"symbol, {TS}, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low, {R('close')} AS close, volume"
 sql_op("ag_1", f"SELECT {_SHOW}, first_trades FROM {{daily}}", {"daily": _DAILY})
-sql_op("ag_2", f"SELECT {_SHOW}, {R('vwap')} AS vwap_mean FROM {{daily}}", {"daily": _DAILY})
+register("ag_2", lambda s, d: rounded(panel.resampled(panels.ticks_to_bars(panels.hourly_ticks(s, d), "minute"), 15)), f"""SELECT symbol, CAST(time_bucket(INTERVAL 15 MINUTE, ts) AS VARCHAR) AS ts, round(first(open ORDER BY ts) + 3e-8, 6) AS open, round(max(high) + 3e-8, 6) AS high,
+  round(min(low) + 3e-8, 6) AS low, round(last(close ORDER BY ts) + 3e-8, 6) AS close, CAST(sum(volume) AS BIGINT) AS volume, round(avg(vwap) + 3e-8, 6) AS vwap_mean, count(*) AS n_bars FROM ({panels.BARS_M}) GROUP BY symbol, time_bucket(INTERVAL 15 MINUTE, ts)""")
 sql_op("ag_3", f"SELECT {_SHOW} FROM (SELECT symbol, date_trunc('day', ts) AS ts, {_OHLC} FROM (SELECT *, row_number() OVER (PARTITION BY symbol, ts ORDER BY close) AS rn FROM {{bars_h}}) q WHERE rn = 1 GROUP BY 1, 2) z")
 sql_op("ag_4", f"SELECT {ALL} FROM {{bars_w}}")
 sql_op("ag_5", f"SELECT symbol, count(*) AS n_days, {R('avg(CASE WHEN n >= 20 THEN 1.0 ELSE 0.0 END)')} AS full_share FROM {{days}} GROUP BY symbol", D)

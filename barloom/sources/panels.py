@@ -47,3 +47,4 @@ TICKS_H = "SELECT event_type AS symbol, ts AS tick, value AS price, CAST(json_ex
 #: The panels in SQL, for the same tables.
 BARS_W = _BARS.format(unit="week", ticks=TICKS_W)
 BARS_H = _BARS.format(unit="hour", ticks=TICKS_H)
+BARS_M = _BARS.format(unit="minute", ticks=TICKS_H)
