@@ -30,6 +30,18 @@ def resampled(bars: DataFrame, minutes: int) -> DataFrame:
         F.sum("volume").alias("volume"), F.avg("vwap").alias("vwap_mean"), F.count("*").alias("n_bars")).withColumnRenamed("at", "ts")
 
 
+def finite(x: str) -> Column:
+    """x, null where it is no number or infinite."""
+    return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), F.col(x))
+
+
+def usable_rows(df: DataFrame, features: list[str], label: str, most_missing: float = 0.5) -> DataFrame:
+    """df with features and label made finite, without rows that lack the label or more than this share of the features."""
+    clean = df.withColumns({c: finite(c) for c in [*features, label]})
+    missing = sum((F.col(c).isNull().cast("int") for c in features), F.lit(0))
+    return clean.filter(F.col(label).isNotNull() & (missing <= most_missing * len(features)))
+
+
 def zscore(x: str, least: int = 10) -> Column:
     """x against its cross-section; untouched where that has fewer than `least` values."""
     w = Window.partitionBy("ts")

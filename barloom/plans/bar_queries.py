@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as fn
 
 from barloom.operators import panel
-from barloom.plans.registry import register, rounded, sql_op
+from barloom.plans.registry import doubled, register, rounded, sql_op
 from barloom.sources import bars, panels
 from barloom.sources.scratch import fresh_folder
 
@@ -112,7 +112,16 @@ _SESSIONS = f"SELECT DISTINCT CAST(ts AS DATE) AS d, CAST(CAST(ts AS DATE) AS TI
 sql_op("prj_5", f"SELECT symbol, CAST(b.ts AS STRING) AS ts, {R('close')} AS close FROM {{bars_h}} b JOIN {{sessions}} s ON CAST(b.ts AS TIMESTAMP) - INTERVAL '1' HOUR >= s.open_at AND b.ts <= s.close_at AND CAST(b.ts AS DATE) = s.d", {"sessions": _SESSIONS})
 _FEATS = f"SELECT symbol, ts, close, volume, close / nullif(lag(close) OVER ({KEY}), 0) - 1 AS f1, close / nullif(lag(close, 5) OVER ({KEY}), 0) - 1 AS f2, volume / nullif(avg(volume) OVER ({KEY} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) AS f3, (high - low) / nullif(close, 0) AS f4, lead(close, 5) OVER ({KEY}) / close - 1 AS y FROM {{bars_w}}"
 F = {"feats": _FEATS}
-sql_op("prj_6", f"SELECT symbol, {TS}, {R('y')} AS y, {R('f1')} AS f1, {R('f2')} AS f2 FROM {{feats}} WHERE y IS NOT NULL AND ((CASE WHEN f1 IS NULL THEN 1 ELSE 0 END) + (CASE WHEN f2 IS NULL THEN 1 ELSE 0 END) + (CASE WHEN f3 IS NULL THEN 1 ELSE 0 END) + (CASE WHEN f4 IS NULL THEN 1 ELSE 0 END)) / 4.0 <= 0.5", F)
+# Every fifth week's returns are infinite here, every seventh's no numbers.
+_BROKEN = "SELECT symbol, ts, CASE WHEN w % 5 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE y END AS y, CASE WHEN w % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE f1 END AS f1, CASE WHEN w % 7 = 0 THEN -CAST('Infinity' AS DOUBLE) ELSE f2 END AS f2, f3, f4 FROM (SELECT *, dense_rank() OVER (ORDER BY ts) AS w FROM {feats}) q"
+
+
+def _usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = spark.sql(doubled(_BROKEN), feats=spark.sql(doubled(_FEATS), bars_w=panels.weekly_bars(spark, sf_dir)))
+    return panel.usable_rows(broken, ["f1", "f2", "f3", "f4"], "y").select("symbol", "ts", "y", "f1", "f2")
+
+
+sql_op("prj_6", f"SELECT symbol, {TS}, {R('y')} AS y, {R('g1')} AS f1, {R('g2')} AS f2 FROM (SELECT *, CASE WHEN isfinite(f1) THEN f1 END AS g1, CASE WHEN isfinite(f2) THEN f2 END AS g2 FROM {{broken}}) c WHERE isfinite(y) AND (g1 IS NULL)::INT + (g2 IS NULL)::INT + (f3 IS NULL)::INT + (f4 IS NULL)::INT <= 2", {**F, "broken": _BROKEN}, by=_usable)
 _LONG = " UNION ALL ".join(f"SELECT symbol, ts, '{f}' AS feature, {f} AS x, y FROM {{feats}}" for f in ("f1", "f2", "f3", "f4"))
 L = {**F, "long": _LONG}
 sql_op("prj_7", "SELECT feature, count(x) AS n_values FROM {long} WHERE feature NOT LIKE 'y%' GROUP BY feature HAVING count(x) > 0", L)
