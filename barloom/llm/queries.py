@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import ann, chat, decontaminate, langid, licenses, packing, secrets, simhash, toxicity, urlfilter
+from barloom.llm import ann, chat, collocations, decontaminate, langid, lexical, licenses, packing, secrets, sharding, simhash, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.formatted_windows(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)))
 
 
-QUERIES: dict[str, Query] = {"op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_licenses": op3_licenses, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash, "op6_language": op6_language, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op9_urls": op9_urls, "op10_chat": op10_chat}
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
 
-ORACLE_SQL: dict[str, str] = {"op3_licenses": licenses.sql(), "op10_chat": chat.SQL}
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(sharding.sharded(_table(spark, sf_dir, "documents")))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_secrets": op1_secrets, "op2_decontaminate": op2_decontaminate, "op3_licenses": op3_licenses, "op4_toxicity": op4_toxicity, "op5_simhash": op5_simhash,
+    "op6_language": op6_language, "op7_packing": op7_packing, "op8_nearest": op8_nearest, "op9_urls": op9_urls, "op10_chat": op10_chat,
+    "op11_lexical": op11_lexical, "op12_sharding": op12_sharding, "op13_collocations": op13_collocations,
+}
+
+ORACLE_SQL: dict[str, str] = {"op3_licenses": licenses.sql(), "op10_chat": chat.SQL, "op11_lexical": lexical.SQL, "op13_collocations": collocations.SQL}
