@@ -1,11 +1,11 @@
 """Phrase collocations: counts of frequent phrases by a multikey quicksort of suffix pointers, scored by their weakest cut.
 
 Texts are encoded once, chunk by chunk: a word list for each language and the word numbers of its pieces, written. Counts of single words come
-from the lists; a bitmap of the frequent ones, of a fixed size, goes to all tasks, so that a suffix ends before its first infrequent word (a
-false hit of the bitmap only leaves a suffix longer than need be). A suffix is at most `longest` words; equal ones of a chunk combine, then they are
-routed over the cluster by their language and first two words. There a three-way quicksort splits pointers to them by one word after another: the
-size of the part that equals the pivot is the count of the words that all its suffixes begin with, and parts below the least count are
-abandoned unsorted, as nothing that begins so can be frequent.
+from the lists. Bitmaps of a fixed size go to all tasks: of the hashes of frequent words, and of hash slots that all pairs of them in it fill
+often enough. A suffix is at most LONGEST words and ends before its first infrequent word or pair; a false hit of a bitmap only leaves it longer
+than need be. Equal suffixes of a chunk combine, then they are routed over the cluster by their language and first two words. There a
+three-way quicksort splits pointers to them by one word after another: the size of the part that equals the pivot is the count of the words
+that all its suffixes begin with, and parts below the least count are abandoned unsorted, as nothing that begins so can be frequent.
 
 Leading words with many suffixes would make one task long: pairs, and then triples, with more than HOT_SHARE of all words (at most 1 / HOT_SHARE of
 either) are routed by one word more. The counts of such a pair are then sums over tasks, which keep their parts whatever their size.
@@ -20,6 +20,7 @@ or none with a frequent phrase, give no rows. Further columns are ignored. Long
 from __future__ import annotations
 
 import array
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -41,11 +42,14 @@ CHUNK_WORDS = 2_000_000
 HOT_SHARE = 1 / 20_000
 BITMAP_BITS = 1 << 25
 _MAP_BITS = 1 << 15
+#: Parts of the pairs' slots that are summed apart, and tasks that each part's sums begin in.
+SLOT_PARTS, SALTS = 16, 8
 SEED = 42
 #: A byte that UTF-8 never has, for the ends of pieces; A-Z small, a tab as a space.
 _END = b"\xff"
 _FOLDED = bytes(255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)).lower()
 ENCODED = "lang string, words array<string>, counts array<bigint>, ids binary, n long, hot array<struct<w1:string,w2:string,w3:string,n:bigint>>"
+PAIRS = "part int, salt int, slots binary, n binary"
 SUFFIX = "lang string, w1 string, w2 string, w3 string, w4 string, n long, lead int"
 
 
@@ -116,24 +120,95 @@ def bitmap(words: DataFrame) -> np.ndarray:
     return out
 
 
-def suffixes(chunks: DataFrame, words: DataFrame, hot: dict[str, set[tuple[str, ...]]]) -> DataFrame:
-    """Of each chunk the different suffixes of two to LONGEST frequent words, how often each occurs, and by how many leading words it is routed."""
-    shared = chunks.sparkSession.sparkContext.broadcast((bitmap(words), hot))
+def hashes_of(lang: str, words: pa.Array) -> np.ndarray:
+    """The hash of each word of a language, as Spark's xxhash64(lang, word) gives it."""
+    seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
+    return np.array([xxhash.xxh64_intdigest(w.as_py().encode(), seed) for w in words], dtype=np.uint64)
+
+
+def held_bits(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 > 0
+
+
+def masked(hashes: np.ndarray, packed: bytes, bits: np.ndarray) -> np.ndarray:
+    """The word numbers of a chunk, 0 where a piece ends or a word is infrequent, with LONGEST zeros behind."""
+    good = held_bits(bits, (hashes & np.uint64(BITMAP_BITS - 1)).astype(np.int64))
+    good[0] = False
+    ids = np.frombuffer(packed, dtype="<i4").astype(np.int64)
+    return np.concatenate([np.where(good[ids], ids, 0), np.zeros(LONGEST, dtype=np.int64)])
+
+
+def pair_slots(hashes: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Each pair's slot of BITMAP_BITS."""
+    mixed = (hashes[first] * np.uint64(0x9E3779B97F4A7C15) + hashes[second]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mixed >> np.uint64(65 - BITMAP_BITS.bit_length())).astype(np.int64)
+
+
+def pair_bitmap(chunks: DataFrame, frequent_words: np.ndarray, least: int) -> np.ndarray:
+    """A bit for each slot that pairs of frequent words fill `least` times. A chunk's counts, cut off at `least`, are added up part by part: first in SALTS
+    tasks each, as long as they come, then those sums."""
+    spark, size = chunks.sparkSession, BITMAP_BITS // SLOT_PARTS
+    shared, top = spark.sparkContext.broadcast(frequent_words), min(least, 255)
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, listed, packed in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                hashes = hashes_of(lang, listed.values)
+                ids = masked(hashes, packed.as_py(), shared.value)
+                at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+                slot, n = np.unique(pair_slots(hashes, ids[at], ids[at + 1]), return_counts=True)
+                ends = np.searchsorted(slot, np.arange(SLOT_PARTS + 1) * size)
+                parts = [(p, ends[p], ends[p + 1]) for p in range(SLOT_PARTS) if ends[p] < ends[p + 1]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([p for p, _, _ in parts], pa.int32()), pa.array([len(ids) % SALTS] * len(parts), pa.int32()),
+                    pa.array([zlib.compress(np.diff(slot[i:j] - p * size, prepend=0).astype("<u4").tobytes(), 1) for p, i, j in parts], pa.binary()),
+                    pa.array([zlib.compress(np.minimum(n[i:j], top).astype(np.uint8).tobytes(), 1) for _, i, j in parts], pa.binary())], names=["part", "salt", "slots", "n"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, steps, n in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                slot = np.cumsum(np.frombuffer(zlib.decompress(steps.as_py()), dtype="<u4"), dtype=np.int64)
+                held = sums.setdefault(part, np.zeros(size, dtype=np.uint16))
+                held[slot] = np.minimum(held[slot] + np.frombuffer(zlib.decompress(n.as_py()), dtype=np.uint8), top)
+        for part, held in sums.items():
+            slot = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([0], pa.int32()), pa.array([zlib.compress(np.diff(slot, prepend=0).astype("<u4").tobytes(), 1)], pa.binary()), pa.array([zlib.compress(held[slot].astype(np.uint8).tobytes(), 1)], pa.binary())], names=["part", "salt", "slots", "n"])
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in summed(batches):
+            for part, steps, n in zip(batch.column(0), batch.column(2), batch.column(3), strict=True):
+                full = np.zeros(size, dtype=bool)
+                slot = np.cumsum(np.frombuffer(zlib.decompress(steps.as_py()), dtype="<u4"), dtype=np.int64)
+                full[slot[np.frombuffer(zlib.decompress(n.as_py()), dtype=np.uint8) >= top]] = True
+                yield pa.RecordBatch.from_arrays([pa.array([part.as_py()], pa.int32()), pa.array([np.packbits(full, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
+
+    counts = chunks.select("lang", "words", "ids").mapInArrow(slots, PAIRS).repartition("part", "salt").mapInArrow(summed, PAIRS)
+    out = np.zeros(BITMAP_BITS // 8, dtype=np.uint8)
+    for r in counts.repartition("part").mapInArrow(bits, "part int, bits binary").collect():  # SLOT_PARTS rows, 4 MB
+        out[r["part"] * size // 8 : (r["part"] + 1) * size // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
+def suffixes(chunks: DataFrame, words: DataFrame, hot: dict[str, set[tuple[str, ...]]], least: int = LEAST) -> DataFrame:
+    """Of each chunk the different suffixes of two to LONGEST words that may be frequent, how often each occurs, and by how many leading words it is routed."""
+    frequent_words = bitmap(words)
+    shared = chunks.sparkSession.sparkContext.broadcast((frequent_words, pair_bitmap(chunks, frequent_words, least), hot))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, busy = shared.value
+        word_bits, pair_bits, busy = shared.value
         for batch in batches:
             for lang, listed, packed in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                held, seed = listed.values, xxhash.xxh64_intdigest(lang.encode(), SEED)
-                slot = np.array([xxhash.xxh64_intdigest(w.as_py().encode(), seed) & (BITMAP_BITS - 1) for w in held], dtype=np.int64)
-                good = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
-                good[0] = False
-                ids = np.frombuffer(packed.as_py(), dtype="<i4").astype(np.int64)
-                ids = np.concatenate([np.where(good[ids], ids, 0), np.zeros(LONGEST, dtype=np.int64)])
+                held = listed.values
+                hashes = hashes_of(lang, held)
+                ids = masked(hashes, packed.as_py(), word_bits)
+                two = np.zeros(len(ids), dtype=bool)
                 at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+                two[at] = held_bits(pair_bits, pair_slots(hashes, ids[at], ids[at + 1]))
+                at = np.flatnonzero(two)
                 columns, on = [ids[at], ids[at + 1]], np.ones(len(at), dtype=bool)
                 for k in range(2, LONGEST):
-                    on = on & (ids[at + k] > 0)
+                    on = on & two[at + k - 1]
                     columns.append(np.where(on, ids[at + k], 0))
                 size = len(held)
                 _, head = np.unique(columns[0] * size + columns[1], return_inverse=True)
@@ -217,7 +292,7 @@ def phrases(documents: DataFrame, least: int = LEAST, chunk_words: int = CHUNK_W
     hot: dict[str, set[tuple[str, ...]]] = {}
     for r in busy:
         hot.setdefault(r["lang"], set()).add(tuple(r[w] for w in ("w1", "w2", "w3") if r[w] is not None))
-    longer = staged(counted(suffixes(chunks, words, hot), least), "frequent-phrases")
+    longer = staged(counted(suffixes(chunks, words, hot, least), least), "frequent-phrases")
     return words.select("lang", "phrase", F.lit(1).alias("words"), "a").union(longer), totals
 
 
