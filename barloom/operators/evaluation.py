@@ -35,6 +35,62 @@ def exact_quantile(df: DataFrame, x: Column, p: float) -> float | None:
     return values[wanted[0]] + (values[wanted[1]] - values[wanted[0]]) * (place - wanted[0])
 
 
+def exact_quantiles(df: DataFrame, columns: list[str], ps: list[float]) -> dict[tuple[str, float], float | None]:
+    """The interpolated quantiles of all values of many columns, in three scans whatever the number of columns and quantiles; nulls don't count.
+
+    One scan brackets every quantile approximately, one counts the values below each bracket, and one counts the different values inside, which alone
+    are put in order, a bracket at a time. A quantile whose rank lies beside its bracket after all is found by exact_quantile()."""
+    held = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    edges = F.array(*(F.lit(e) for p in ps for e in (max(0.0, p - BRACKET), min(1.0, p + BRACKET))))
+    row = held.agg(*(F.percentile_approx(c, edges, 100_000).alias(f"b{i}") for i, c in enumerate(columns)), *(F.count(c).alias(f"n{i}") for i, c in enumerate(columns))).first()
+    asked = [(i, c, k, p, row[f"b{i}"][2 * k], row[f"b{i}"][2 * k + 1]) for i, c in enumerate(columns) if row[f"n{i}"] for k, p in enumerate(ps)]
+    out: dict[tuple[str, float], float | None] = {(c, p): None for c in columns for p in ps}
+    if not asked:
+        return out
+    below = held.agg(*(F.count_if(F.col(c) < low).alias(f"l{i}_{k}") for i, c, k, _, low, _ in asked)).first()
+    inside = F.array_compact(F.array(*(F.when(F.col(c).between(low, high), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), F.col(c).alias("x"))) for i, c, k, _, low, high in asked)))
+    counts = held.select(F.explode(inside).alias("v")).groupBy("v.i", "v.k", "v.x").agg(F.count("*").alias("n"))
+    wanted = {(i, k): p * (row[f"n{i}"] - 1) for i, _, k, p, _, _ in asked}
+    ranked = counts.withColumn("end", F.sum("n").over(Window.partitionBy("i", "k").orderBy("x")))
+    place = lambda at: F.element_at(F.create_map(*(F.lit(x) for (i, k), w in wanted.items() for x in (f"{i},{k}", at(w, i, k)))), F.concat_ws(",", "i", "k"))
+    first = place(lambda w, i, k: int(w) - below[f"l{i}_{k}"])
+    second = place(lambda w, i, k: min(int(w) + 1, row[f"n{i}"] - 1) - below[f"l{i}_{k}"])
+    holds = lambda c: (F.col("end") - F.col("n") <= c) & (c < F.col("end"))
+    found: dict[tuple[int, int, int], float] = {}
+    for r in ranked.withColumn("first", holds(first)).withColumn("second", holds(second)).filter("first OR second").collect():  # two values a quantile at most
+        found |= {(r["i"], r["k"], w): r["x"] for w, on in ((0, r["first"]), (1, r["second"])) if on}
+    for i, c, k, p, _, _ in asked:
+        if (i, k, 0) in found and (i, k, 1) in found:
+            low, high = found[i, k, 0], found[i, k, 1]
+            out[c, p] = low + (high - low) * (wanted[i, k] - int(wanted[i, k]))
+        else:
+            out[c, p] = exact_quantile(held, F.col(c), p)
+    return out
+
+
+def fences(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame:
+    """df and inside: are all of these columns within `reach` interquartile ranges of their quartiles? A null value is no outlier, a column without
+    values has none."""
+    q = exact_quantiles(df, columns, [0.25, 0.75])
+    out = F.lit(True)
+    for c in columns:
+        low, high = q[c, 0.25], q[c, 0.75]
+        if low is not None:
+            out = out & F.coalesce(F.col(c).between(low - reach * (high - low), high + reach * (high - low)), F.lit(True))
+    return df.withColumn("inside", out)
+
+
+def without_extremes(df: DataFrame, label: str, sigmas: float = 5.0, least_kept: float = 0.8) -> DataFrame:
+    """df without rows whose label is more than `sigmas` standard deviations from its mean, if more than least_kept of the labelled rows stay; else df.
+    Rows without a label stay. Two scans of the label."""
+    a = df.agg(F.avg(label).alias("m"), F.stddev_pop(label).alias("s"), F.count(label).alias("n")).first()
+    if not a["n"]:
+        return df
+    near = F.abs(F.col(label) - a["m"]) <= sigmas * a["s"]
+    stay = df.agg(F.count_if(near)).first()[0]
+    return df.filter(near | F.col(label).isNull()) if stay > least_kept * a["n"] else df
+
+
 def auc(df: DataFrame, by: str, x: str, positive: Column) -> DataFrame:
     """by, auc, n: the share of pairs of a positive and a negative row that x orders rightly, ties half. Values are dealt into BUCKETS near-equal
     buckets of each series; counts before a bucket and within it add up to exact ranks, so no task holds a series."""
