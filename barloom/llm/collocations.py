@@ -1,9 +1,9 @@
 """Phrase collocations: counts of frequent phrases by a multikey quicksort of suffix pointers, scored by their weakest cut.
 
 Texts are encoded once, chunk by chunk: a word list for each language and the word numbers of its pieces, written. Counts of single words come
-from the lists. Bitmaps of a fixed size go to all tasks: of the hashes of frequent words, and of hash slots that all pairs of them in it fill
-often enough. A suffix is at most LONGEST words and ends before its first infrequent word or pair; a false hit of a bitmap only leaves it longer
-than need be. Equal suffixes of a chunk combine, then they are routed over the cluster by their language and first two words. There a
+from the lists. Bitmaps of a fixed size go to all tasks: of the hashes of frequent words, of the hash slots that pairs of them fill often enough,
+and of those that triples of such pairs, and runs of four of such triples do. A suffix ends before its first infrequent run; a false
+hit of a bitmap only leaves it longer than need be. Equal suffixes of a chunk combine, then they are routed over the cluster by their language and first two words. There a
 three-way quicksort splits pointers to them by one word after another: the size of the part that equals the pivot is the count of the words
 that all its suffixes begin with, and parts below the least count are abandoned unsorted, as nothing that begins so can be frequent.
 
@@ -38,18 +38,18 @@ LEAST = 30
 COVERED = (80, 100)
 BEST = 2000
 #: Words of a chunk, about; share of all words beyond which leading words are routed by one more; bits of the bitmap, 4 MB.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 HOT_SHARE = 1 / 20_000
 BITMAP_BITS = 1 << 25
 _MAP_BITS = 1 << 15
-#: Parts of the pairs' slots that are summed apart, and tasks that each part's sums begin in.
+#: Parts of the runs' slots that are summed apart, and tasks that each part's sums begin in.
 SLOT_PARTS, SALTS = 16, 8
 SEED = 42
 #: A byte that UTF-8 never has, for the ends of pieces; A-Z small, a tab as a space.
 _END = b"\xff"
 _FOLDED = bytes(255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)).lower()
 ENCODED = "lang string, words array<string>, counts array<bigint>, ids binary, n long, hot array<struct<w1:string,w2:string,w3:string,n:bigint>>"
-PAIRS = "part int, salt int, slots binary, n binary"
+SLOTS = "part int, salt int, slots binary, n binary"
 SUFFIX = "lang string, w1 string, w2 string, w3 string, w4 string, n long, lead int"
 
 
@@ -130,33 +130,43 @@ def held_bits(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 > 0
 
 
-def masked(hashes: np.ndarray, packed: bytes, bits: np.ndarray) -> np.ndarray:
-    """The word numbers of a chunk, 0 where a piece ends or a word is infrequent, with LONGEST zeros behind."""
-    good = held_bits(bits, (hashes & np.uint64(BITMAP_BITS - 1)).astype(np.int64))
-    good[0] = False
-    ids = np.frombuffer(packed, dtype="<i4").astype(np.int64)
-    return np.concatenate([np.where(good[ids], ids, 0), np.zeros(LONGEST, dtype=np.int64)])
-
+def run_slots(hashes: np.ndarray, ids: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
+    """The slot of BITMAP_BITS of each run of so many words that starts at these places."""
+    mixed = hashes[ids[at]]
+    for k in range(1, words):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[ids[at + k]]
+    return ((mixed * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(65 - BITMAP_BITS.bit_length())).astype(np.int64)
 
-def pair_slots(hashes: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Each pair's slot of BITMAP_BITS."""
-    mixed = (hashes[first] * np.uint64(0x9E3779B97F4A7C15) + hashes[second]) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (mixed >> np.uint64(65 - BITMAP_BITS.bit_length())).astype(np.int64)
 
-
-def pair_bitmap(chunks: DataFrame, frequent_words: np.ndarray, least: int) -> np.ndarray:
-    """A bit for each slot that pairs of frequent words fill `least` times. A chunk's counts, cut off at `least`, are added up part by part: first in SALTS
-    tasks each, as long as they come, then those sums."""
-    spark, size = chunks.sparkSession, BITMAP_BITS // SLOT_PARTS
-    shared, top = spark.sparkContext.broadcast(frequent_words), min(least, 255)
+def open_runs(hashes: np.ndarray, packed: bytes, bitmaps: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The word numbers of a chunk, 0 where a piece ends or a word is infrequent, with zeros behind; and for 1, 2, ... words, as far as there are bitmaps
+    and one word beyond, whether the run that starts at each place may be frequent, as all runs within it may."""
+    good = held_bits(bitmaps[0], (hashes & np.uint64(BITMAP_BITS - 1)).astype(np.int64))
+    good[0] = False
+    ids = np.frombuffer(packed, dtype="<i4").astype(np.int64)
+    ids = np.concatenate([np.where(good[ids], ids, 0), np.zeros(LONGEST, dtype=np.int64)])
+    passed = [ids > 0]
+    for words in range(2, len(bitmaps) + 2):
+        on = np.append(passed[-1][:-1] & passed[-1][1:], False)
+        if words <= len(bitmaps):
+            at = np.flatnonzero(on)
+            on[at] = held_bits(bitmaps[words - 1], run_slots(hashes, ids, at, words))
+        passed.append(on)
+    return ids, passed
+
+
+def run_bitmap(chunks: DataFrame, bitmaps: list[np.ndarray], least: int) -> np.ndarray:
+    """A bit for each slot that runs of one word more than the last of these bitmaps tells of fill `least` times. A chunk's counts, cut off at `least`,
+    are added up part by part: first in SALTS tasks each, as long as they come, then those sums."""
+    spark, size, words = chunks.sparkSession, BITMAP_BITS // SLOT_PARTS, len(bitmaps) + 1
+    shared, top = spark.sparkContext.broadcast(bitmaps), min(least, 255)
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, listed, packed in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 hashes = hashes_of(lang, listed.values)
-                ids = masked(hashes, packed.as_py(), shared.value)
-                at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-                slot, n = np.unique(pair_slots(hashes, ids[at], ids[at + 1]), return_counts=True)
+                ids, passed = open_runs(hashes, packed.as_py(), shared.value)
+                slot, n = np.unique(run_slots(hashes, ids, np.flatnonzero(passed[-1]), words), return_counts=True)
                 ends = np.searchsorted(slot, np.arange(SLOT_PARTS + 1) * size)
                 parts = [(p, ends[p], ends[p + 1]) for p in range(SLOT_PARTS) if ends[p] < ends[p + 1]]
                 yield pa.RecordBatch.from_arrays([
@@ -183,7 +193,7 @@ def pair_bitmap(chunks: DataFrame, frequent_words: np.ndarray, least: int) -> np
                 full[slot[np.frombuffer(zlib.decompress(n.as_py()), dtype=np.uint8) >= top]] = True
                 yield pa.RecordBatch.from_arrays([pa.array([part.as_py()], pa.int32()), pa.array([np.packbits(full, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
 
-    counts = chunks.select("lang", "words", "ids").mapInArrow(slots, PAIRS).repartition("part", "salt").mapInArrow(summed, PAIRS)
+    counts = chunks.select("lang", "words", "ids").mapInArrow(slots, SLOTS).repartition("part", "salt").mapInArrow(summed, SLOTS)
     out = np.zeros(BITMAP_BITS // 8, dtype=np.uint8)
     for r in counts.repartition("part").mapInArrow(bits, "part int, bits binary").collect():  # SLOT_PARTS rows, 4 MB
         out[r["part"] * size // 8 : (r["part"] + 1) * size // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
@@ -192,24 +202,19 @@ def pair_bitmap(chunks: DataFrame, frequent_words: np.ndarray, least: int) -> np
 
 def suffixes(chunks: DataFrame, words: DataFrame, hot: dict[str, set[tuple[str, ...]]], least: int = LEAST) -> DataFrame:
     """Of each chunk the different suffixes of two to LONGEST words that may be frequent, how often each occurs, and by how many leading words it is routed."""
-    frequent_words = bitmap(words)
-    shared = chunks.sparkSession.sparkContext.broadcast((frequent_words, pair_bitmap(chunks, frequent_words, least), hot))
+    bitmaps = [bitmap(words)]
+    while len(bitmaps) < LONGEST:
+        bitmaps.append(run_bitmap(chunks, bitmaps, least))
+    shared = chunks.sparkSession.sparkContext.broadcast((bitmaps, hot))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_bits, pair_bits, busy = shared.value
+        maps, busy = shared.value
         for batch in batches:
             for lang, listed, packed in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 held = listed.values
-                hashes = hashes_of(lang, held)
-                ids = masked(hashes, packed.as_py(), word_bits)
-                two = np.zeros(len(ids), dtype=bool)
-                at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-                two[at] = held_bits(pair_bits, pair_slots(hashes, ids[at], ids[at + 1]))
-                at = np.flatnonzero(two)
-                columns, on = [ids[at], ids[at + 1]], np.ones(len(at), dtype=bool)
-                for k in range(2, LONGEST):
-                    on = on & two[at + k - 1]
-                    columns.append(np.where(on, ids[at + k], 0))
+                ids, passed = open_runs(hashes_of(lang, held), packed.as_py(), maps)
+                at = np.flatnonzero(passed[1])
+                columns = [ids[at], ids[at + 1], *(np.where(passed[k][at], ids[at + k], 0) for k in range(2, LONGEST))]
                 size = len(held)
                 _, head = np.unique(columns[0] * size + columns[1], return_inverse=True)
                 _, tail = np.unique(columns[2] * size + columns[3], return_inverse=True)
