@@ -3,8 +3,8 @@
 Texts are encoded once, chunk by chunk: a word list for each language and the word numbers of its pieces, written. Counts of single words come
 from the lists. Bitmaps of a fixed size go to all tasks: of the hashes of frequent words, of the hash slots that pairs of them fill often enough,
 and of those that triples of such pairs, and runs of four of such triples do. A suffix ends before its first infrequent run; a false
-hit of a bitmap only leaves it longer than need be. Equal suffixes of a chunk combine, then they are routed over the cluster by their language and first two words. There a
-three-way quicksort splits pointers to them by one word after another: the size of the part that equals the pivot is the count of the words
+hit of a bitmap only leaves it longer than need be. Equal suffixes of a chunk combine, then they are routed over the cluster by their language and
+first two words. There a three-way quicksort splits pointers to them by one word after another: the size of the part that equals the pivot is the count of the words
 that all its suffixes begin with, and parts below the least count are abandoned unsorted, as nothing that begins so can be frequent.
 
 Leading words with many suffixes would make one task long: pairs, and then triples, with more than HOT_SHARE of all words (at most 1 / HOT_SHARE of
@@ -48,7 +48,7 @@ SEED = 42
 #: A byte that UTF-8 never has, for the ends of pieces; A-Z small, a tab as a space.
 _END = b"\xff"
 _FOLDED = bytes(255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)).lower()
-ENCODED = "lang string, words array<string>, counts array<bigint>, ids binary, n long, hot array<struct<w1:string,w2:string,w3:string,n:bigint>>"
+ENCODED = "lang string, words array<string>, counts array<bigint>, spelled binary, ids binary, n long, hot array<struct<w1:string,w2:string,w3:string,n:bigint>>"
 SLOTS = "part int, salt int, slots binary, n binary"
 SUFFIX = "lang string, w1 string, w2 string, w3 string, w4 string, n long, lead int"
 
@@ -79,7 +79,8 @@ def common_runs(ids: np.ndarray, size: int, words: int, least: int) -> list[tupl
 
 
 def encoded(documents: DataFrame, chunk_words: int = CHUNK_WORDS, hot_share: float = HOT_SHARE) -> DataFrame:
-    """A row for each chunk and language: words (the first ends a piece), their counts, the numbers of all words in order, and often repeated pairs and triples."""
+    """A row for each chunk and language: words (the first ends a piece), their counts, the words once more as one compressed text, the compressed numbers
+    of all words in order, and often repeated pairs and triples. Tasks in Python read the compressed columns alone."""
 
     def row(lang: str, vocabulary: dict[bytes, int], numbers: array.array) -> pa.RecordBatch:
         ids, words = np.frombuffer(numbers, dtype=np.int32), [w.decode("utf-8", "replace") if w != _END else "" for w in vocabulary]
@@ -88,8 +89,9 @@ def encoded(documents: DataFrame, chunk_words: int = CHUNK_WORDS, hot_share: flo
         least = max(2, int(hot_share * len(ids)))
         hot = [{"w1": words[ids[at]], "w2": words[ids[at + 1]], "w3": words[ids[at + 2]] if k == 3 else None, "n": n} for k in (2, 3) for at, n in common_runs(ids, len(words), k, least)]
         return pa.RecordBatch.from_arrays([
-            pa.array([lang]), pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64())), pa.array([ids.astype("<i4").tobytes()], pa.binary()), pa.array([int(counts.sum())]),
-            pa.array([hot], pa.list_(pa.struct([("w1", pa.string()), ("w2", pa.string()), ("w3", pa.string()), ("n", pa.int64())])))], names=["lang", "words", "counts", "ids", "n", "hot"])
+            pa.array([lang]), pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64())),
+            pa.array([zlib.compress(b"\n".join(w if w != _END else b"" for w in vocabulary), 1)], pa.binary()), pa.array([zlib.compress(ids.astype("<i4").tobytes(), 1)], pa.binary()), pa.array([int(counts.sum())]),
+            pa.array([hot], pa.list_(pa.struct([("w1", pa.string()), ("w2", pa.string()), ("w3", pa.string()), ("n", pa.int64())])))], names=["lang", "words", "counts", "spelled", "ids", "n", "hot"])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: dict[str, tuple[dict[bytes, int], array.array]] = {}
@@ -120,10 +122,17 @@ def bitmap(words: DataFrame) -> np.ndarray:
     return out
 
 
-def hashes_of(lang: str, words: pa.Array) -> np.ndarray:
+def hashes_of(lang: str, words: list[bytes]) -> np.ndarray:
     """The hash of each word of a language, as Spark's xxhash64(lang, word) gives it."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
-    return np.array([xxhash.xxh64_intdigest(w.as_py().encode(), seed) for w in words], dtype=np.uint64)
+    seed, digest = xxhash.xxh64_intdigest(lang.encode(), SEED), xxhash.xxh64_intdigest
+    return np.array([digest(w, seed) for w in words], dtype=np.uint64)
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """Each chunk's language, words and numbers."""
+    for batch in batches:
+        for lang, spelled, ids in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+            yield lang.as_py(), zlib.decompress(spelled.as_py()).split(b"\n"), np.frombuffer(zlib.decompress(ids.as_py()), dtype="<i4")
 
 
 def held_bits(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -138,13 +147,12 @@ def run_slots(hashes: np.ndarray, ids: np.ndarray, at: np.ndarray, words: int) -
     return ((mixed * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(65 - BITMAP_BITS.bit_length())).astype(np.int64)
 
 
-def open_runs(hashes: np.ndarray, packed: bytes, bitmaps: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+def open_runs(hashes: np.ndarray, numbers: np.ndarray, bitmaps: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """The word numbers of a chunk, 0 where a piece ends or a word is infrequent, with zeros behind; and for 1, 2, ... words, as far as there are bitmaps
     and one word beyond, whether the run that starts at each place may be frequent, as all runs within it may."""
     good = held_bits(bitmaps[0], (hashes & np.uint64(BITMAP_BITS - 1)).astype(np.int64))
     good[0] = False
-    ids = np.frombuffer(packed, dtype="<i4").astype(np.int64)
-    ids = np.concatenate([np.where(good[ids], ids, 0), np.zeros(LONGEST, dtype=np.int64)])
+    ids = np.concatenate([np.where(good[numbers], numbers, 0), np.zeros(LONGEST, dtype=np.int32)])
     passed = [ids > 0]
     for words in range(2, len(bitmaps) + 2):
         on = np.append(passed[-1][:-1] & passed[-1][1:], False)
@@ -162,17 +170,16 @@ def run_bitmap(chunks: DataFrame, bitmaps: list[np.ndarray], least: int) -> np.n
     shared, top = spark.sparkContext.broadcast(bitmaps), min(least, 255)
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, listed, packed in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                hashes = hashes_of(lang, listed.values)
-                ids, passed = open_runs(hashes, packed.as_py(), shared.value)
-                slot, n = np.unique(run_slots(hashes, ids, np.flatnonzero(passed[-1]), words), return_counts=True)
-                ends = np.searchsorted(slot, np.arange(SLOT_PARTS + 1) * size)
-                parts = [(p, ends[p], ends[p + 1]) for p in range(SLOT_PARTS) if ends[p] < ends[p + 1]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([p for p, _, _ in parts], pa.int32()), pa.array([len(ids) % SALTS] * len(parts), pa.int32()),
-                    pa.array([zlib.compress(np.diff(slot[i:j] - p * size, prepend=0).astype("<u4").tobytes(), 1) for p, i, j in parts], pa.binary()),
-                    pa.array([zlib.compress(np.minimum(n[i:j], top).astype(np.uint8).tobytes(), 1) for _, i, j in parts], pa.binary())], names=["part", "salt", "slots", "n"])
+        for lang, spelled, numbers in unpacked(batches):
+            hashes = hashes_of(lang, spelled)
+            ids, passed = open_runs(hashes, numbers, shared.value)
+            slot, n = np.unique(run_slots(hashes, ids, np.flatnonzero(passed[-1]), words), return_counts=True)
+            ends = np.searchsorted(slot, np.arange(SLOT_PARTS + 1) * size)
+            parts = [(p, ends[p], ends[p + 1]) for p in range(SLOT_PARTS) if ends[p] < ends[p + 1]]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([p for p, _, _ in parts], pa.int32()), pa.array([len(ids) % SALTS] * len(parts), pa.int32()),
+                pa.array([zlib.compress(np.diff(slot[i:j] - p * size, prepend=0).astype("<u4").tobytes(), 1) for p, i, j in parts], pa.binary()),
+                pa.array([zlib.compress(np.minimum(n[i:j], top).astype(np.uint8).tobytes(), 1) for _, i, j in parts], pa.binary())], names=["part", "salt", "slots", "n"])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -193,7 +200,7 @@ def run_bitmap(chunks: DataFrame, bitmaps: list[np.ndarray], least: int) -> np.n
                 full[slot[np.frombuffer(zlib.decompress(n.as_py()), dtype=np.uint8) >= top]] = True
                 yield pa.RecordBatch.from_arrays([pa.array([part.as_py()], pa.int32()), pa.array([np.packbits(full, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
 
-    counts = chunks.select("lang", "words", "ids").mapInArrow(slots, SLOTS).repartition("part", "salt").mapInArrow(summed, SLOTS)
+    counts = chunks.select("lang", "spelled", "ids").mapInArrow(slots, SLOTS).repartition("part", "salt").mapInArrow(summed, SLOTS)
     out = np.zeros(BITMAP_BITS // 8, dtype=np.uint8)
     for r in counts.repartition("part").mapInArrow(bits, "part int, bits binary").collect():  # SLOT_PARTS rows, 4 MB
         out[r["part"] * size // 8 : (r["part"] + 1) * size // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
@@ -209,30 +216,29 @@ def suffixes(chunks: DataFrame, words: DataFrame, hot: dict[str, set[tuple[str,
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps, busy = shared.value
-        for batch in batches:
-            for lang, listed, packed in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                held = listed.values
-                ids, passed = open_runs(hashes_of(lang, held), packed.as_py(), maps)
-                at = np.flatnonzero(passed[1])
-                columns = [ids[at], ids[at + 1], *(np.where(passed[k][at], ids[at + k], 0) for k in range(2, LONGEST))]
-                size = len(held)
-                _, head = np.unique(columns[0] * size + columns[1], return_inverse=True)
-                _, tail = np.unique(columns[2] * size + columns[3], return_inverse=True)
-                _, first, n = np.unique(head * (tail.max(initial=0) + 1) + tail, return_index=True, return_counts=True)
-                columns = [c[first] for c in columns]
-                lead = np.full(len(first), 2, dtype=np.int32)
-                number = {w: i for i, w in enumerate(held.to_pylist())} if lang in busy else {}
-                pairs = np.array([number[p[0]] * size + number[p[1]] for p in busy.get(lang, ()) if len(p) == 2 and p[0] in number and p[1] in number], dtype=np.int64)
-                lead[np.isin(columns[0] * size + columns[1], pairs)] = 3
-                for p in busy.get(lang, ()):
-                    if len(p) == 3 and all(w in number for w in p):
-                        lead[(columns[0] == number[p[0]]) & (columns[1] == number[p[1]]) & (columns[2] == number[p[2]]) & (lead == 3)] = 4
-                for i in range(0, len(first), 100_000):
-                    cut = slice(i, i + 100_000)
-                    texts = [held.take(pa.array(c[cut], mask=c[cut] == 0)) for c in columns]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts[0]), pa.string()), *texts, pa.array(n[cut]), pa.array(lead[cut])], names=["lang", "w1", "w2", "w3", "w4", "n", "lead"])
-
-    return chunks.select("lang", "words", "ids").mapInArrow(made, SUFFIX)
+        for lang, spelled, numbers in unpacked(batches):
+            ids, passed = open_runs(hashes_of(lang, spelled), numbers, maps)
+            at = np.flatnonzero(passed[1])
+            columns = [c.astype(np.int64) for c in (ids[at], ids[at + 1], *(np.where(passed[k][at], ids[at + k], 0) for k in range(2, LONGEST)))]
+            size = len(spelled)
+            _, head = np.unique(columns[0] * size + columns[1], return_inverse=True)
+            _, tail = np.unique(columns[2] * size + columns[3], return_inverse=True)
+            _, first, n = np.unique(head * (tail.max(initial=0) + 1) + tail, return_index=True, return_counts=True)
+            columns = [c[first] for c in columns]
+            lead = np.full(len(first), 2, dtype=np.int32)
+            number = {w: i for i, w in enumerate(spelled)} if lang in busy else {}
+            leading = [tuple(number.get(w.encode(), 0) for w in p) for p in busy.get(lang, ())]
+            lead[np.isin(columns[0] * size + columns[1], np.array([p[0] * size + p[1] for p in leading if len(p) == 2 and all(p)], dtype=np.int64))] = 3
+            for p in leading:
+                if len(p) == 3 and all(p):
+                    lead[(columns[0] == p[0]) & (columns[1] == p[1]) & (columns[2] == p[2]) & (lead == 3)] = 4
+            held = pa.array(spelled, pa.binary()).cast(pa.string())
+            for i in range(0, len(first), 100_000):
+                cut = slice(i, i + 100_000)
+                texts = [held.take(pa.array(c[cut], mask=c[cut] == 0)) for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts[0]), pa.string()), *texts, pa.array(n[cut]), pa.array(lead[cut])], names=["lang", "w1", "w2", "w3", "w4", "n", "lead"])
+
+    return chunks.select("lang", "spelled", "ids").mapInArrow(made, SUFFIX)
 
 
 def frequent(columns: list[np.ndarray], weights: np.ndarray, pointers: np.ndarray, lead: int, least: int) -> list[tuple[int, int, int]]:
