@@ -25,7 +25,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.folder = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what staged() wrote for these frames; nothing that is still to be computed may read it."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(df.folder)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -73,3 +73,11 @@ def test_language_stage_keeps_every_decided_text(spark):
     kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
     assert kept == decided
     assert {r["text"] for r in docs.filter("text in ('Von.', 'Osrañ.')").collect()} <= {r["text"] for r in docs.filter(docs.doc_id.isin(sorted(kept))).collect()}
+
+
+def test_a_passage_in_many_different_texts_makes_no_pairs(spark):
+    """26 shared words and 5 of their own: all stay; the plan's joins see few rows."""
+    passage = " ".join(f"shared{i}" for i in range(26))
+    rows = [(i, f"{passage} " + " ".join(f"own{i}x{k}" for k in range(5))) for i in range(3000)] + [(9000, f"{passage} " + " ".join(f"own7x{k}" for k in range(5)) + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in jaccard.representatives(docs).collect()) == list(range(3000))
