@@ -5,50 +5,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.sources.scratch import fresh_folder
+
 #: Buckets of a series' values, and the share of rows on either side of a quantile that are looked at exactly.
 BUCKETS = 64
 BRACKET = 1e-4
+#: A bracket of more rows is bracketed again before its values are put in order.
+MOST_ORDERED = 1_000_000
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    """The same rows, written once and read again, so that what made them isn't run by every pass."""
+    spark = df.sparkSession
+    folder = fresh_folder(spark, "column")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def exact_quantile(df: DataFrame, x: Column, p: float) -> float | None:
-    """The interpolated quantile of all values; null values don't count. An approximate one brackets it, rows below are only counted, and just the
-    different values inside the bracket are put in order."""
-    held = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    around = F.percentile_approx("x", F.array(F.lit(max(0.0, p - BRACKET)), F.lit(min(1.0, p + BRACKET))), 100_000)
-    found = held.agg(around.alias("b"), F.count("*").alias("n")).first()
-    if not found["n"]:
+    """The interpolated quantile of all values; null values don't count. The column is staged once."""
+    return _quantile(_staged(df.select(x.cast("double").alias("x")).filter(F.col("x").isNotNull())), p)
+
+
+def _quantile(held: DataFrame, p: float) -> float | None:
+    """Of x, which has no nulls: an approximate quantile brackets the rank, and the bracket is bracketed again until few enough rows lie in it, or one value. Rows below are
+    only counted; the different values of the last bracket alone are put in order."""
+    found = held.agg(_around(p), F.count("*").alias("n")).first()
+    total = found["n"]
+    if not total:
         return None
-    (low, high), place = found["b"], p * (found["n"] - 1)
-    wanted = [int(place), min(int(place) + 1, found["n"] - 1)]
-    values = {}
+    (low, high), place = found["b"], p * (total - 1)
+    wanted = [int(place), min(int(place) + 1, total - 1)]
     while True:
-        below = held.agg(F.count_if(F.col("x") < low).alias("n")).first()["n"]
-        inside = held.filter(F.col("x").between(low, high)).groupBy("x").agg(F.count("*").alias("n"))
-        ranked = inside.withColumn("end", F.lit(below) + F.sum("n").over(Window.orderBy("x"))).withColumn("start", F.col("end") - F.col("n"))
+        near = F.col("x").between(low, high)
+        seen = held.agg(F.count_if(F.col("x") < low).alias("below"), F.count_if(near).alias("inside"), F.max(F.when(F.col("x") < low, F.col("x"))).alias("l"), F.min(F.when(F.col("x") > high, F.col("x"))).alias("h")).first()
+        below, inside = seen["below"], seen["inside"]
+        if below > wanted[0] or below + inside <= wanted[1]:  # a rank beside the bracket: its nearest neighbours on either side come in
+            low, high = low if seen["l"] is None else seen["l"], high if seen["h"] is None else seen["h"]
+            continue
+        if inside > MOST_ORDERED and low < high:
+            at = [(w - below) / inside for w in wanted]
+            inner = held.filter(near).agg(_around(*at)).first()["b"]
+            if inner[0] > low or inner[-1] < high:
+                low, high = inner[0], inner[-1]
+                continue
+        counts = held.filter(near).groupBy("x").agg(F.count("*").alias("n"))
+        ranked = counts.withColumn("end", F.lit(below) + F.sum("n").over(Window.orderBy("x"))).withColumn("start", F.col("end") - F.col("n"))
         hit = ranked.filter(" OR ".join(f"(start <= {k} AND {k} < end)" for k in wanted)).collect()  # two values at most
         values = {k: r["x"] for r in hit for k in wanted if r["start"] <= k < r["end"]}
-        if all(k in values for k in wanted):
-            break
-        # a rank beside the bracket: its nearest neighbours on either side come in
-        edges = held.agg(F.max(F.when(F.col("x") < low, F.col("x"))).alias("l"), F.min(F.when(F.col("x") > high, F.col("x"))).alias("h")).first()
-        low, high = low if edges["l"] is None else edges["l"], high if edges["h"] is None else edges["h"]
-    return values[wanted[0]] + (values[wanted[1]] - values[wanted[0]]) * (place - wanted[0])
+        return values[wanted[0]] + (values[wanted[1]] - values[wanted[0]]) * (place - wanted[0])
+
+
+def _around(*ps: float) -> Column:
+    return F.percentile_approx("x", F.array(F.lit(max(0.0, min(ps) - BRACKET)), F.lit(min(1.0, max(ps) + BRACKET))), 100_000).alias("b")
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], ps: list[float]) -> dict[tuple[str, float], float | None]:
-    """The interpolated quantiles of all values of many columns, in three scans whatever the number of columns and quantiles; nulls don't count.
+    """The interpolated quantiles of all values of many columns, in three scans of the staged columns whatever the number of columns and quantiles; nulls don't count.
 
     One scan brackets every quantile approximately, one counts the values below each bracket, and one counts the different values inside, which alone
-    are put in order, a bracket at a time. A quantile whose rank lies beside its bracket after all is found by exact_quantile()."""
-    held = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    are put in order, a bracket at a time. A quantile whose rank lies beside its bracket after all, or with too many rows in it, is found as by exact_quantile()."""
+    held = _staged(df.select(*(F.col(c).cast("double").alias(c) for c in columns)))
     edges = F.array(*(F.lit(e) for p in ps for e in (max(0.0, p - BRACKET), min(1.0, p + BRACKET))))
     row = held.agg(*(F.percentile_approx(c, edges, 100_000).alias(f"b{i}") for i, c in enumerate(columns)), *(F.count(c).alias(f"n{i}") for i, c in enumerate(columns))).first()
     asked = [(i, c, k, p, row[f"b{i}"][2 * k], row[f"b{i}"][2 * k + 1]) for i, c in enumerate(columns) if row[f"n{i}"] for k, p in enumerate(ps)]
     out: dict[tuple[str, float], float | None] = {(c, p): None for c in columns for p in ps}
     if not asked:
         return out
-    below = held.agg(*(F.count_if(F.col(c) < low).alias(f"l{i}_{k}") for i, c, k, _, low, _ in asked)).first()
-    inside = F.array_compact(F.array(*(F.when(F.col(c).between(low, high), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), F.col(c).alias("x"))) for i, c, k, _, low, high in asked)))
+    below = held.agg(*(F.count_if(F.col(c) < low).alias(f"l{i}_{k}") for i, c, k, _, low, _ in asked), *(F.count_if(F.col(c).between(low, high)).alias(f"m{i}_{k}") for i, c, k, _, low, high in asked)).first()
+    few = [a for a in asked if below[f"m{a[0]}_{a[2]}"] <= MOST_ORDERED]  # the others are bracketed again below
+    inside = F.array_compact(F.array(*(F.when(F.col(c).between(low, high), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), F.col(c).alias("x"))) for i, c, k, _, low, high in few), F.lit(None).cast("struct<i:int,k:int,x:double>")))
     counts = held.select(F.explode(inside).alias("v")).groupBy("v.i", "v.k", "v.x").agg(F.count("*").alias("n"))
     wanted = {(i, k): p * (row[f"n{i}"] - 1) for i, _, k, p, _, _ in asked}
     ranked = counts.withColumn("end", F.sum("n").over(Window.partitionBy("i", "k").orderBy("x")))
@@ -64,7 +90,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], ps: list[float]) -> dict[
             low, high = found[i, k, 0], found[i, k, 1]
             out[c, p] = low + (high - low) * (wanted[i, k] - int(wanted[i, k]))
         else:
-            out[c, p] = exact_quantile(held, F.col(c), p)
+            out[c, p] = _quantile(held.select(F.col(c).alias("x")).filter("x IS NOT NULL"), p)
     return out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as fn
 
-from barloom.operators import panel
+from barloom.operators import label_checks, panel
 from barloom.plans.registry import doubled, register, rounded, sql_op
 from barloom.sources import bars, panels
 from barloom.sources.scratch import fresh_folder
@@ -113,7 +113,7 @@ sql_op("prj_5", f"SELECT symbol, CAST(b.ts AS STRING) AS ts, {R('close')} AS clo
 _FEATS = f"SELECT symbol, ts, close, volume, close / nullif(lag(close) OVER ({KEY}), 0) - 1 AS f1, close / nullif(lag(close, 5) OVER ({KEY}), 0) - 1 AS f2, volume / nullif(avg(volume) OVER ({KEY} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) AS f3, (high - low) / nullif(close, 0) AS f4, lead(close, 5) OVER ({KEY}) / close - 1 AS y FROM {{bars_w}}"
 F = {"feats": _FEATS}
 # Every fifth week's returns are infinite here, every seventh's no numbers.
-_BROKEN = "SELECT symbol, ts, CASE WHEN w % 5 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE y END AS y, CASE WHEN w % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE f1 END AS f1, CASE WHEN w % 7 = 0 THEN -CAST('Infinity' AS DOUBLE) ELSE f2 END AS f2, f3, f4 FROM (SELECT *, dense_rank() OVER (ORDER BY ts) AS w FROM {feats}) q"
+_BROKEN = "SELECT symbol, ts, CASE WHEN w % 5 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE y END AS y, CASE WHEN w % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE f1 END AS f1, CASE WHEN w % 7 = 0 THEN -CAST('Infinity' AS DOUBLE) ELSE f2 END AS f2, f3, f4 FROM (SELECT *, CAST(floor(unix_timestamp(CAST(ts AS TIMESTAMP)) / 604800.0) AS BIGINT) AS w FROM {feats}) q"
 
 
 def _usable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,13 +137,20 @@ def _asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("symbol", "ts", fn.when(fresh, fn.col("slow_close")).alias("slow_close"), "avail")
 
 
+def _old_and_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two labels, each made from bars of its own."""
+    label = lambda more: panels.weekly_bars(spark, sf_dir).selectExpr("symbol", "ts", f"CASE WHEN lead(close, 5) OVER ({KEY}) > close * {more} THEN 1 ELSE 0 END AS y")
+    found = label_checks.label_changes(label("1D"), label("1.01D"), ["symbol", "ts"], "y", "symbol", 0)
+    return found.select("symbol", fn.col("n_both").alias("n"), "n_diff", "match_rate")
+
+
 _SLOW = "SELECT symbol, ts, close AS slow_close, CAST(ts AS TIMESTAMP) + INTERVAL '30' MINUTE AS avail FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS rn FROM {bars_h}) q WHERE rn % 6 = 0"
 _TAGGED = "SELECT symbol, avail AS at_ts, 0 AS side, slow_close, avail FROM {slow} UNION ALL SELECT symbol, CAST(ts AS TIMESTAMP), 1, NULL, NULL FROM {bars_h}"
 _FILLED = "SELECT symbol, at_ts, side, last_value(slow_close) IGNORE NULLS OVER (PARTITION BY symbol ORDER BY at_ts, side ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v, last_value(avail) IGNORE NULLS OVER (PARTITION BY symbol ORDER BY at_ts, side ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS avail FROM {tagged}"
 sql_op("jn_1", f"SELECT symbol, CAST(at_ts AS STRING) AS ts, CASE WHEN at_ts - avail <= INTERVAL '12' HOUR THEN {R('v')} END AS slow_close, CAST(avail AS STRING) AS avail FROM {{filled}} WHERE side = 1", {"slow": _SLOW, "tagged": _TAGGED, "filled": _FILLED}, by=_asof)
 sql_op("jn_2", f"SELECT b.symbol, CAST(b.ts AS STRING) AS ts, {R('b.close')} AS close, {R('s.slow_close')} AS slow_close FROM {{bars_h}} b LEFT JOIN {{slow}} s ON b.symbol = s.symbol AND b.ts = s.ts", {"slow": _SLOW})
 _OLDNEW = f"SELECT symbol, ts, CASE WHEN lead(close, 5) OVER ({KEY}) > close THEN 1 ELSE 0 END AS old_label, CASE WHEN lead(close, 5) OVER ({KEY}) > close * 1.01 THEN 1 ELSE 0 END AS new_label FROM {{bars_w}}"
-sql_op("jn_3", f"SELECT o.symbol, count(*) AS n, CAST(sum(CASE WHEN o.old_label = n.new_label THEN 0 ELSE 1 END) AS BIGINT) AS n_diff, {R('avg(CASE WHEN o.old_label = n.new_label THEN 1.0 ELSE 0.0 END)')} AS match_rate FROM {{labels2}} o JOIN {{labels2}} n ON o.symbol = n.symbol AND o.ts = n.ts GROUP BY o.symbol", {"labels2": _OLDNEW})
+sql_op("jn_3", f"SELECT o.symbol, count(*) AS n, CAST(sum(CASE WHEN o.old_label = n.new_label THEN 0 ELSE 1 END) AS BIGINT) AS n_diff, {R('avg(CASE WHEN o.old_label = n.new_label THEN 1.0 ELSE 0.0 END)')} AS match_rate FROM {{labels2}} o JOIN {{labels2}} n ON o.symbol = n.symbol AND o.ts = n.ts GROUP BY o.symbol", {"labels2": _OLDNEW}, by=_old_and_new)
 sql_op("jn_4", f"SELECT n_name, count(*) AS n_suppliers, {R('sum(s_acctbal)')} AS acctbal FROM {{supplier}} JOIN {{nation}} ON s_nationkey = n_nationkey GROUP BY n_name")
 sql_op("jn_5", "SELECT s.symbol, CAST(t.ts AS STRING) AS ts FROM (SELECT DISTINCT symbol FROM {bars_h}) s CROSS JOIN (SELECT DISTINCT ts FROM {bars_h}) t")
 sql_op("jn_6", f"SELECT symbol, {TS}, {R('close - avg(close) OVER (PARTITION BY ts)')} AS dev, count(*) OVER (PARTITION BY ts) AS n_symbols FROM {{bars_h}}")

@@ -42,7 +42,7 @@ def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features(spark, sf_dir).filter("y IS NOT NULL")
     a = rows.agg(fn.avg("y").alias("m"), fn.stddev_pop("y").alias("s")).first()
-    q1, q3 = (evaluation.exact_quantile(rows, fn.col("y"), p) for p in (0.25, 0.75))
+    q1, q3 = evaluation.exact_quantiles(rows, ["y"], [0.25, 0.75]).values()
     sigma, fence = fn.abs(fn.col("y") - a["m"]) <= 5 * a["s"], fn.col("y").between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
     return rows.select("symbol", "ts", "y", sigma.cast("int").alias("keep_sigma"), fence.cast("int").alias("keep_iqr"))
 
@@ -69,7 +69,7 @@ sql_op("csx_10", f"SELECT symbol, count(*) AS n, count(*) FILTER (WHERE substr({
 sql_op("csx_11", f"SELECT {X}, {R('coalesce(f1, med)')} AS f1 FROM {{feats}} CROSS JOIN (SELECT percentile(f1, 0.5) AS med FROM {{feats}}) m", F, by=_filled)
 sql_op("csx_12", f"SELECT {X}, {R('y')} AS y, CASE WHEN abs(y - m) <= 5 * s THEN 1 ELSE 0 END AS keep_sigma, CASE WHEN y BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN 1 ELSE 0 END AS keep_iqr FROM {{feats}} CROSS JOIN (SELECT avg(y) AS m, stddev_pop(y) AS s, percentile(y, 0.25) AS q1, percentile(y, 0.75) AS q3 FROM {{feats}}) a WHERE y IS NOT NULL", F, by=_outliers)
 sql_op("csx_13", f"SELECT {X}, {R('greatest(least(coalesce(f1, 0.0), 1e6), -1e6)')} AS f1, CASE WHEN f1 IS NULL OR y IS NULL THEN 0 ELSE 1 END AS complete FROM {{feats}}", F)
-sql_op("csx_14", f"SELECT {X} FROM (SELECT symbol, ts, row_number() OVER (ORDER BY {_MD5}) AS rn FROM {{bars_w}}) q WHERE rn <= 1000")
+sql_op("csx_14", f"SELECT {X} FROM (SELECT symbol, ts, row_number() OVER (ORDER BY {_MD5}) AS rn FROM {{bars_w}}) q WHERE rn <= 1000", by=lambda s, d: panels.weekly_bars(s, d).select("symbol", "ts").orderBy(fn.expr(_MD5)).limit(1000))
 sql_op("csx_15", f"SELECT {X}, {R('f1')} AS x, {R('lag1')} AS x_lag1, {R('f1 - lag1')} AS d_x FROM (SELECT symbol, ts, f1, lag(f1) OVER ({KEY}) AS lag1 FROM {{feats}}) q", F)
 sql_op("csx_16", f"SELECT symbol, segment, count(*) AS n, CAST(min(ts) AS STRING) AS first_ts FROM (SELECT symbol, ts, sum(CASE WHEN k <> before OR before IS NULL THEN 1 ELSE 0 END) OVER ({KEY} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS segment FROM (SELECT symbol, ts, sign_up AS k, lag(sign_up) OVER ({KEY}) AS before FROM (SELECT symbol, ts, CASE WHEN f2 > 0 THEN 1 ELSE 0 END AS sign_up FROM {{feats}}) a) b) c GROUP BY symbol, segment", F)
 sql_op("csx_17", f"SELECT {X}, {', '.join(f'{R(f'x{k}')} AS x{k}' for k in range(5))} FROM (SELECT symbol, ts, {', '.join(f'lag(f1, {k}) OVER ({KEY}) AS x{k}' for k in range(5))} FROM {{feats}}) q WHERE {' AND '.join(f'x{k} IS NOT NULL' for k in range(5))}", F, by=_sequences)

@@ -24,10 +24,10 @@ def _redundant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The label by leads against the label by arrays."""
+    """The label by leads, one too late after weeks of a number of trades that seven divides, against the label by arrays."""
     bars = panels.weekly_bars(spark, sf_dir)
     at = lambda k: fn.expr(f"lead(close, {k}) OVER ({KEY})") >= fn.col("close") * 1.05
-    leads = bars.select("symbol", "ts", fn.when(at(1), 1).when(at(2), 2).when(at(3), 3).alias("tth"))
+    leads = bars.select("symbol", "ts", (fn.when(at(1), 1).when(at(2), 2).when(at(3), 3) + fn.when(fn.col("n_trades") % 7 == 0, 1).otherwise(0)).alias("tth"))
     return evaluation.mismatches(leads, evaluation.time_to_hit_by_array(bars, 0.05, 3), ["symbol", "ts"], "tth", "hit")
 
 
@@ -69,7 +69,7 @@ _HALF = "SELECT CASE WHEN year(ts) < 1999 THEN 'early' ELSE 'late' END AS run, f
 sql_op("qa_9", f"SELECT coalesce(a.feature, b.feature) AS feature, {R('a.importance')} AS full_imp, {R('b.importance')} AS safe_imp, {R('a.importance - b.importance')} AS diff, CASE WHEN abs(a.importance - b.importance) > 0.5 * greatest(a.importance, b.importance) THEN 1 ELSE 0 END AS flagged FROM (SELECT feature, importance FROM {{half}} WHERE run = 'early') a FULL OUTER JOIN (SELECT feature, importance FROM {{half}} WHERE run = 'late') b ON a.feature = b.feature", {**L, "half": _HALF})
 _HIT = f"SELECT symbol, ts, close, CASE WHEN lead(close, 1) OVER ({KEY}) >= close * 1.05 THEN 1 WHEN lead(close, 2) OVER ({KEY}) >= close * 1.05 THEN 2 WHEN lead(close, 3) OVER ({KEY}) >= close * 1.05 THEN 3 END AS tth FROM {{bars_w}}"
 sql_op("qa_10", f"SELECT tth, count(*) AS n, {R('count(*) / (1.0 * sum(count(*)) OVER ())')} AS share FROM {{hit}} WHERE tth IS NOT NULL GROUP BY tth", {"hit": _HIT})
-sql_op("qa_11", "SELECT symbol, count(*) AS n, 0 AS mismatches FROM {bars_w} GROUP BY symbol", by=_recomputed)
+sql_op("qa_11", "SELECT symbol, count(*) AS n, count(*) FILTER (WHERE n_trades % 7 = 0 AND tth IS NOT NULL) AS mismatches FROM {hit} GROUP BY symbol", {"hit": _HIT.replace("close, CASE", "close, n_trades, CASE")}, by=_recomputed)
 _AUC = "(sum(CASE WHEN pos = 1 THEN rk + (tied - 1) / 2.0 ELSE 0.0 END) - sum(pos) * (sum(pos) + 1) / 2.0) / nullif(sum(pos) * (count(*) - sum(pos)), 0)"
 _RK = "SELECT feature, CASE WHEN y > 0 THEN 1 ELSE 0 END AS pos, rank() OVER (PARTITION BY feature ORDER BY x) AS rk, count(*) OVER (PARTITION BY feature, x) AS tied FROM {long} WHERE x IS NOT NULL AND y IS NOT NULL"
 sql_op("qa_12", f"SELECT feature, {R(_AUC)} AS auc, count(*) AS n FROM {{rk}} GROUP BY feature", {**L, "rk": _RK}, by=lambda s, d: evaluation.auc(_long(s, d), "feature", "x", fn.col("y") > 0))

@@ -71,3 +71,15 @@ def test_exact_quantile_and_auc(spark):
     assert evaluation.auc(df, "k", "x", F.col("p") == 1).first()["auc"] == pytest.approx(expected)
     prints = [d.agg(evaluation.fingerprint(F.col("x"), F.col("p")).alias("f")).first()["f"] for d in (df, df.orderBy("x"), df.withColumn("p", F.when(F.col("x") == float(x[7]), 1 - F.col("p")).otherwise(F.col("p"))))]
     assert prints[0] == prints[1] != prints[2]
+
+
+def test_crowded_brackets_are_narrowed(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "MOST_ORDERED", 40)
+    monkeypatch.setattr(evaluation, "BRACKET", 0.02)
+    x = np.concatenate([np.random.default_rng(5).normal(size=9000), np.zeros(3000)])
+    df = spark.createDataFrame([(float(v), float(v) ** 2) for v in x] + [(None, None)], "x double, z double")
+    ps = [0.0, 0.1, 0.4, 0.5, 0.9, 1.0]
+    found = evaluation.exact_quantiles(df, ["x", "z"], ps)
+    for p in ps:
+        assert found["x", p] == pytest.approx(np.quantile(x, p)) and found["z", p] == pytest.approx(np.quantile(x**2, p))
+        assert evaluation.exact_quantile(df, F.col("x"), p) == pytest.approx(np.quantile(x, p))

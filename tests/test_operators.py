@@ -83,6 +83,36 @@ def test_zigzag(spark):
     assert [r["direction"] for r in found] == [0, 1, 1, -1, -1, 1]
 
 
+def plain_zigzag(closes, reversal):
+    out, extreme, direction = [], None, 0
+    for c in closes:
+        if c is not None:
+            if extreme is None:
+                extreme = c
+            elif direction >= 0 and c <= extreme * (1 - reversal):
+                extreme, direction = c, -1
+            elif direction <= 0 and c >= extreme * (1 + reversal):
+                extreme, direction = c, 1
+            elif (direction > 0 and c > extreme) or (direction < 0 and c < extreme):
+                extreme = c
+        out.append((extreme, direction))
+    return out
+
+
+@pytest.mark.parametrize("batch", [7, 10_000])
+def test_zigzag_over_batches(spark, batch):
+    rng = np.random.default_rng(3)
+    closes = {s: [None if rng.random() < odds else float(round(v, 3)) for v in 100 * np.exp(np.cumsum(rng.normal(0, size, 400)))] for s, odds, size in (("A", 0, 0.03), ("B", 0.2, 0.05), ("C", 0, 0.0005))} | {"D": [None, None], "E": [None, 5.0, 5.0, 4.0]}
+    df = spark.createDataFrame([(s, i, c) for s, cs in closes.items() for i, c in enumerate(cs)], "symbol string, ts long, close double").repartition(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = {(r["symbol"], r["ts"]): (r["pivot"], r["direction"]) for r in zigzag(df, 0.1).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == {(s, i): v for s, cs in closes.items() for i, v in enumerate(plain_zigzag(cs, 0.1))}
+    assert zigzag(df.limit(0), 0.1).collect() == []
+
+
 def test_asof_never_looks_ahead(spark, sf_dir):
     joined = registry.QUERIES["jn_1"](spark, sf_dir)
     assert joined.filter(F.col("avail") > F.col("ts")).isEmpty()
