@@ -168,3 +168,23 @@ def pruned(correlated: DataFrame, most: float = 0.95) -> DataFrame:
             gone.add(b)
     names = correlated.select(F.col("fa").alias("feature")).union(correlated.select("fb")).distinct()
     return names.withColumn("kept", ~F.col("feature").isin(sorted(gone)) if gone else F.lit(True))
+
+
+def multiclass(df: DataFrame, label: str, probabilities: str, by: list[str], eps: float = 1e-8) -> DataFrame:
+    """df(*by, label, probabilities) to a row a group: n, cross_entropy, accuracy, macro_f1. probabilities is an array with one number a class, label a class from 0 on.
+
+    Numbers are cut off at eps and 1 - eps and then add up to one. The predicted class is the first of the largest; macro_f1 is the mean over classes that are labels or predictions. Rows
+    without a label or probabilities don't count; a label without a number has the probability eps. Rows are counted by group, label and prediction before they meet."""
+    cut = F.transform(F.col(probabilities), lambda p: F.greatest(F.lit(eps), F.least(F.coalesce(p, F.lit(0.0)), F.lit(1 - eps))))
+    held = df.filter(F.col(label).isNotNull() & (F.size(probabilities) > 0)).select(*by, F.col(label).cast("int").alias("y"), cut.alias("p"))
+    told = held.select(*by, "y", (F.array_position("p", F.array_max("p")) - 1).cast("int").alias("q"), (F.coalesce(F.get("p", "y"), F.lit(eps)) / F.aggregate("p", F.lit(0.0), lambda a, x: a + x)).alias("own"))
+    cells = told.groupBy(*by, "y", "q").agg(F.count("*").alias("n"), F.sum(-F.log("own")).alias("loss"))
+    sides = F.array(F.struct(F.col("y").alias("k"), F.lit(True).alias("real")), F.struct(F.col("q").alias("k"), F.lit(False).alias("real")))
+    classes = cells.select(*by, "n", F.when(F.col("y") == F.col("q"), F.col("n")).otherwise(0).alias("hit"), F.inline(sides)).groupBy(*by, "k").agg(F.sum("n").alias("both"), F.sum(F.when(F.col("real"), F.col("hit")).otherwise(0)).alias("tp"))
+    f1 = classes.groupBy(*by).agg(F.avg(2 * F.col("tp") / F.col("both")).alias("macro_f1"))
+    whole = cells.groupBy(*by).agg(F.sum("n").alias("n"), (F.sum("loss") / F.sum("n")).alias("cross_entropy"), (F.sum(F.when(F.col("y") == F.col("q"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"))
+    left, right = whole.alias("w"), f1.alias("f")
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(f"w.{c}").eqNullSafe(F.col(f"f.{c}"))
+    return left.join(right, on).select("w.*", "f.macro_f1")

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as fn
 
-from barloom.operators import decisions, evaluation, intervals, label_checks, routes
-from barloom.plans.bar_queries import F
+from barloom.functions.ewm import ewm_sql
+from barloom.functions.portable import steps_sql
+from barloom.operators import decisions, evaluation, interactions, intervals, label_checks, routes, run_rules, stability
+from barloom.operators.features import CHAINS, add_group
+from barloom.plans.bar_queries import F, L
 from barloom.plans.panel_queries import features
-from barloom.plans.registry import NUDGE, sql_op
+from barloom.plans.registry import NUDGE, register, rounded, sql_op, translated
 from barloom.sources import mixed, panels, symbols, times
 from barloom.sources.scratch import fresh_folder
 
@@ -168,3 +171,69 @@ _LATEST = "SELECT * FROM {lags} JOIN {moves} ON symbol = s WHERE back = 1"
 _RULE = lambda name, condition: f"SELECT symbol, n_runs, CAST(yr AS STRING) AS run_id, '{name}' AS rule, CASE WHEN n_runs >= 3 AND ({condition}) THEN 1 ELSE 0 END AS triggered FROM {{latest}}"
 sql_op("dec_1_rules", " UNION ALL ".join(_RULE(*a) for a in (("feature_instability", "auc < 0.72 AND auc < a1 * 0.95"), ("route_instability", "moves >= 2"), ("feature_explosion_decline", "auc - a1 < -0.01 AND nf - nf1 > 2"), ("class_balance_drift", "abs(pos_rate - p2) > 0.1"))),
        {**F, "years": _YEARS, "lags": _LAGS, "moves": _MOVES, "latest": _LATEST}, by=lambda s, d: decisions.decisions(_yearly(s, d), ["symbol"], LIMITS).select("symbol", "n_runs", "run_id", "rule", fn.col("triggered").cast("int").alias("triggered")))
+
+
+# Products over a panel that has the indicators' columns, in ten thousands: their last places depend on the order of adding.
+_PRODUCTS = ("adx_x_vol", "cci_x_vol", "macd_x_vol", "macd_x_volume", "macd_x_ret")
+
+
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = panels.weekly_bars(spark, sf_dir).withColumn("ret_5m", fn.expr(f"close / nullif(lag(close, 5) OVER ({KEY}), 0) - 1"))
+    for group in ("FT-21", "FT-23", "FT-17"):
+        bars = bars.transform(add_group, group)
+    return interactions.with_interactions(bars).select("symbol", "ts", *((fn.col(c) / 10_000).alias(c) for c in _PRODUCTS))
+
+
+def _products_sql() -> str:
+    part = lambda group, c: f"(SELECT symbol, ts, {c} FROM {steps_sql(f'({panels.BARS_W})', panels.BAR_COLUMNS, *CHAINS[group])})"
+    macd = f"(SELECT _r.symbol AS symbol, _r.ts AS ts, e12 - e26 AS macd FROM {ewm_sql(f'({panels.BARS_W})', {'e12': ('close', 12), 'e26': ('close', 26)})})"
+    base = f"(SELECT symbol, ts, CAST(volume AS DOUBLE) AS v, close / nullif(lag(close, 5) OVER ({KEY}), 0) - 1 AS r FROM ({panels.BARS_W}))"
+    cells = {"adx_x_vol": "adx_14 * v", "cci_x_vol": "cci_20 * v", "macd_x_vol": "macd * v", "macd_x_volume": "macd * v", "macd_x_ret": "macd * r"}
+    shown = ", ".join(f"{R(f'({e}) / 10000')} + 0.0 AS {c}" for c, e in cells.items())
+    return f"SELECT symbol, CAST(ts AS VARCHAR) AS ts, {shown} FROM {base} b JOIN {part('FT-23', 'adx_14')} a USING (symbol, ts) JOIN {part('FT-21', 'cci_20')} c USING (symbol, ts) JOIN {macd} m USING (symbol, ts)"
+
+
+register("ft_60_indicators", lambda s, d: rounded(_products(s, d)), translated(_products_sql()))
+
+
+# A ranking of features a symbol and year; those of few rows lack a signature, and those of another number of trades are another universe.
+def _rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = features(spark, sf_dir).unpivot(["symbol", "ts", "y"], ["f1", "f2", "f3", "f4"], "feature", "x").filter("x IS NOT NULL AND y IS NOT NULL")
+    each = long.groupBy("symbol", fn.year("ts").alias("yr"), "feature").agg(fn.round(fn.coalesce(fn.abs(fn.corr("x", "y")), fn.lit(0.0)), 9).alias("importance"), fn.count("*").alias("n"))
+    held = each.selectExpr("symbol", "CAST(yr AS STRING) AS run_id", "make_timestamp(yr, 1, 1, 0, 0, 0) AS ts", "feature", "importance", "CASE WHEN yr = 1996 THEN 'odd' ELSE 'whole' END AS universe", "CASE WHEN yr <> 1994 THEN 'v1' END AS data")
+    return stability.usable(held, ["symbol"], ["data"]).filter("refused IS NULL")
+
+
+_RANKS = "SELECT symbol, yr, feature, row_number() OVER (PARTITION BY symbol, yr ORDER BY importance DESC, feature) AS rk FROM (SELECT symbol, year(ts) AS yr, feature, round(coalesce(abs(corr(x, y)), 0.0), 9) AS importance FROM {long} WHERE x IS NOT NULL AND y IS NOT NULL AND year(ts) NOT IN (1994, 1996) GROUP BY 1, 2, 3) q"
+_RUNS = "SELECT symbol AS s0, yr AS y1, lag(yr) OVER (PARTITION BY symbol ORDER BY yr) AS y0 FROM (SELECT DISTINCT symbol, yr FROM {ranks}) d"
+_ALIKE = "SELECT symbol, y1, y0, count(*) FILTER (WHERE a.rk <= 2 AND b.rk <= 2) / (4.0 - count(*) FILTER (WHERE a.rk <= 2 AND b.rk <= 2)) AS overlap FROM {yearly} r JOIN {ranks} a ON a.symbol = s0 AND a.yr = y1 JOIN {ranks} b USING (symbol, feature) WHERE b.yr = y0 GROUP BY symbol, y1, y0"
+_TAUS = "SELECT a.symbol AS s1, y1 AS t1, avg(CASE WHEN (a.rk - c.rk) * (b.rk - d.rk) > 0 THEN 1.0 ELSE -1.0 END) AS tau FROM {yearly} r JOIN {ranks} a ON a.symbol = s0 AND a.yr = y1 JOIN {ranks} b ON b.symbol = s0 AND b.yr = y0 AND b.feature = a.feature JOIN {ranks} c ON c.symbol = s0 AND c.yr = y1 AND c.feature > a.feature JOIN {ranks} d ON d.symbol = s0 AND d.yr = y0 AND d.feature = c.feature GROUP BY 1, 2"
+S = {**L, "ranks": _RANKS, "yearly": _RUNS, "alike": _ALIKE, "taus": _TAUS}
+sql_op("stb_1_pairs", f"SELECT symbol, CAST(y1 AS STRING) AS run_id, CAST(y0 AS STRING) AS previous_id, {R('overlap')} AS overlap, {R('tau')} AS tau FROM {{alike}} JOIN {{taus}} ON symbol = s1 AND y1 = t1", S, by=lambda s, d: stability.pairs(_rankings(s, d), ["symbol"], 2).select("symbol", "run_id", "previous_id", "overlap", "tau"))
+sql_op("stb_1_summary", f"SELECT symbol, count(*) AS n_comparisons, {R('avg(overlap)')} AS mean_overlap, {R('stddev_pop(overlap)')} AS sd_overlap, {R('avg(tau)')} AS mean_tau, {R('stddev_pop(tau)')} AS sd_tau, CASE WHEN avg(overlap) >= 0.75 AND avg(tau) >= 0.65 THEN 'stable' WHEN avg(overlap) < 0.35 THEN 'diverged' ELSE 'drifting' END AS status FROM {{alike}} JOIN {{taus}} ON symbol = s1 AND y1 = t1 GROUP BY symbol", S, by=lambda s, d: stability.summary(stability.pairs(_rankings(s, d), ["symbol"], 2), ["symbol"]))
+
+
+# Three classes of the label, and probabilities from the last return turned round.
+def _classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odds = fn.exp(3 * fn.greatest(fn.least(-fn.col("f1"), fn.lit(3.0)), fn.lit(-3.0)))
+    rows = features(spark, sf_dir).filter("y IS NOT NULL AND f1 IS NOT NULL").withColumn("c", fn.when(fn.col("y") > 0.1, 2).when(fn.col("y") < -0.1, 0).otherwise(1))
+    return evaluation.multiclass(rows.withColumn("p", fn.array(1 / odds, fn.lit(1.0), odds)).withColumn("p", fn.expr("transform(p, v -> v / (p[0] + p[1] + p[2]))")), "c", "p", ["symbol"])
+
+
+_ODDS = "SELECT symbol, CASE WHEN y > 0.1 THEN 2 WHEN y < -0.1 THEN 0 ELSE 1 END AS c, exp(3 * greatest(least(-f1, 3.0), -3.0)) AS o FROM {feats} WHERE y IS NOT NULL AND f1 IS NOT NULL"
+_CHOSEN = "SELECT symbol, c, CASE WHEN o > 1 THEN 2 WHEN o < 1 THEN 0 ELSE 0 END AS q, greatest(least(CASE c WHEN 0 THEN 1 / o WHEN 1 THEN 1.0 ELSE o END / (1 / o + 1 + o), 1 - 1e-8), 1e-8) AS own FROM {odds}"
+_F1 = "SELECT symbol AS s, avg(f1) AS macro_f1 FROM (SELECT symbol, k, 2.0 * count(*) FILTER (WHERE c = k AND q = k) / (count(*) FILTER (WHERE c = k) + count(*) FILTER (WHERE q = k)) AS f1 FROM {chosen} CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) z WHERE c = k OR q = k GROUP BY symbol, k) w GROUP BY symbol"
+sql_op("ev_4_classes", f"SELECT symbol, count(*) AS n, {R('avg(-ln(own))')} AS cross_entropy, {R('avg(CASE WHEN c = q THEN 1.0 ELSE 0.0 END)')} AS accuracy, {R('max(macro_f1)')} AS macro_f1 FROM {{chosen}} JOIN {{ones}} ON symbol = s GROUP BY symbol", {**F, "odds": _ODDS, "chosen": _CHOSEN, "ones": _F1}, by=_classes)
+
+
+# A run a symbol and month, purged by a number of days that goes with its weeks; its cohort is the year.
+def _purged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = panels.weekly_bars(spark, sf_dir).groupBy("symbol", fn.date_trunc("month", "ts").alias("at")).agg(fn.count("*").alias("n"), fn.sum("n_trades").alias("trades"))
+    held = runs.selectExpr("symbol", "date_format(at, 'yyyy-MM') AS run_id", "at AS ts", "'35d' AS horizon", "concat(n * 9, 'd') AS purge", "CASE WHEN n < 5 THEN 'soon' ELSE '840h' END AS embargo", "CASE WHEN trades % 2 = 0 THEN '40d' END AS lookback", "year(at) AS cohort", "n AS fingerprint", "CAST(trades % 2 AS INT) AS folds", "least(trades / 50, 1.0D) AS score")
+    return run_rules.violations(held, ["symbol"])
+
+
+_MONTHS = "SELECT symbol, date_trunc('month', ts) AS mon, count(*) AS n, CAST(sum(n_trades) AS BIGINT) AS trades FROM {bars_w} GROUP BY 1, 2"
+_BEFORE = "SELECT *, substr(CAST(mon AS STRING), 1, 7) AS run_id, lag(n) OVER w AS n0, lag(trades) OVER w AS t0, year(lag(mon) OVER w) = year(mon) AS same FROM {months} WINDOW w AS (PARTITION BY symbol ORDER BY mon)"
+_BROKEN = {"purge_below_horizon": ("n * 9 < 35", "critical"), "purge_below_lookback": ("trades % 2 = 0 AND n * 9 < 40", "critical"), "duration_unreadable": ("n < 5", "critical"), "fingerprint_changed": ("same AND n <> n0", "critical"), "folds_changed": ("same AND trades % 2 <> t0 % 2", "warning"), "suspicious_score": ("least(trades / 50.0, 1.0) >= 0.95", "warning")}
+sql_op("qa_17_rules", " UNION ALL ".join(f"SELECT symbol, run_id, '{k}' AS rule, '{v}' AS severity FROM {{before}} WHERE {e}" for k, (e, v) in _BROKEN.items()), {"months": _MONTHS, "before": _BEFORE}, by=_purged)

@@ -140,3 +140,83 @@ def test_label_changes(spark):
     assert [(e["ts"], e["old"], e["new"]) for e in a["examples"]] == [(12, 0.0, 9.0), (16, 1.0, 9.0), (20, 2.0, 9.0)] and a["old_mean"] == pytest.approx(sum(i % 3 for i in range(10, 50)) / 40) and a["new_max"] == 9.0
     b = found["B"]
     assert (b["n_old"], b["n_new"], b["only_old"], b["n_both"], b["match_rate"], b["new_count"], b["old_count"], b["examples"]) == (2, 1, 1, 0, None, 1, 0, None) and found["C"]["only_new"] == 1
+
+
+def test_interactions():
+    from barloom.operators import interactions
+
+    made = interactions.built(["volume", "ret_5m", "macd", "momentum_5", "mom_5d", "close"])
+    assert set(made) == {"ret2_5m", "vol_x_ret_5m", "ret_x_mom_5d", "vol_x_mom_5d", "macd_x_vol", "macd_x_volume", "macd_x_ret", "momentum_x_vol", "roc_x_vol", "price_x_volume"}
+    assert made["momentum_x_vol"] == "CAST(momentum_5 AS DOUBLE) * volume" and made["roc_x_vol"] == "CAST(mom_5d AS DOUBLE) * volume" and interactions.built([]) == {}
+
+
+def test_interactions_over_a_panel(spark):
+    from barloom.operators import interactions
+
+    df = spark.createDataFrame([(2, 3.0, 9.0), (None, 3.0, 9.0)], "volume long, adx_14 double, adx_x_vol double")
+    assert [tuple(r) for r in interactions.with_interactions(df).select("adx_14", "volume", "adx_x_vol").collect()] == [(3.0, 2, 6.0), (3.0, None, None)]
+
+
+def plain_tau(a, b):
+    common = [f for f in a if f in b]
+    at = [b.index(f) for f in common]
+    signs = [1 if y > x else -1 for i, x in enumerate(at) for y in at[i + 1 :]]
+    return sum(signs) / len(signs) if len(common) >= 3 else None
+
+
+def test_stability(spark):
+    import random
+
+    from barloom.operators import stability
+
+    rng, rankings = random.Random(4), {}
+    for s in ("A", "B"):
+        for i in range(6):
+            names = [f"f{k}" for k in range(12) if rng.random() < 0.9]
+            rng.shuffle(names)
+            rankings[s, i] = names
+    rankings["C", 0], rankings["C", 1] = ["x", "y"], ["y", "x"]
+    rankings["D", 0] = ["x"]
+    rows = [(s, f"r{i}", DAY + datetime.timedelta(days=i), f, 1.0 / (k + 1)) for (s, i), names in rankings.items() for k, f in enumerate(names)] + [("A", "r0", DAY, None, 9.0)]
+    df = spark.createDataFrame(rows, "series string, run_id string, ts timestamp, feature string, importance double").repartition(5)
+    found = {(r["series"], r["run_id"]): r for r in stability.pairs(df, ["series"], 4).collect()}
+    assert set(found) == {(s, f"r{i}") for s, i in rankings if (s, i - 1) in rankings}
+    for (s, run), r in found.items():
+        new, old = rankings[s, int(run[1:])], rankings[s, int(run[1:]) - 1]
+        assert r["overlap"] == pytest.approx(len(set(new[:4]) & set(old[:4])) / len(set(new[:4]) | set(old[:4]))) and r["tau"] == (None if plain_tau(old, new) is None else pytest.approx(plain_tau(old, new)))
+    told = {r["series"]: r for r in stability.summary(stability.pairs(df, ["series"], 4), ["series"]).collect()}
+    overlaps = [r["overlap"] for (s, _), r in found.items() if s == "A"]
+    assert told["A"]["mean_overlap"] == pytest.approx(statistics.mean(overlaps)) and told["A"]["sd_overlap"] == pytest.approx(statistics.pstdev(overlaps)) and told["A"]["n_comparisons"] == 5
+    assert (told["C"]["status"], told["C"]["mean_tau"]) == ("stable", None) and "D" not in told and stability.pairs(df.limit(0), ["series"]).collect() == []
+
+
+def test_usable_snapshots(spark):
+    from barloom.operators import stability
+
+    rows = [("A", "r1", "u", "s", "t"), ("A", "r2", "u", "s", "t"), ("A", "r3", "v", "s", "t"), ("A", "r4", "u", None, "t"), ("A", "r5", "u", "", "t"), ("B", "r1", "u", "s", "t"), ("B", "r2", "u", "s", "z"), ("C", "r1", "b", "s", "t"), ("C", "r2", "a", "s", "t"), (None, "r1", None, "s", "t")]
+    df = spark.createDataFrame(rows, "series string, run_id string, universe string, data string, split string")
+    found = {(r["series"], r["run_id"]): r["refused"] for r in stability.usable(df, ["series"], ["data", "split"]).collect()}
+    assert found == {("A", "r1"): None, ("A", "r2"): None, ("B", "r1"): "split", ("B", "r2"): "split", ("C", "r2"): None, (None, "r1"): None}
+
+
+def test_run_rules(spark):
+    from barloom.operators import run_rules
+
+    good = ("60", "60m", "1h", "45m", "c", "f", 5, 0.7)
+    kinds = {"good": good, "purge": ("1h30m", "85.0m", "90m", None, *good[4:]), "embargo": ("1d", "1440", "23h", None, *good[4:]), "lookback": ("5m", "1h", None, "2h", *good[4:]), "text": ("soon", "5m", "5m", None, *good[4:]), "score": (*good[:7], 0.95), "nan": (*good[:7], float("nan")), "nothing": (None,) * 8}
+    rows = [(k, "r0", DAY, *v) for k, v in kinds.items()] + [(k, f"r{i}", DAY + datetime.timedelta(days=i), *v) for k, vs in {"data": [good, (*good[:5], "g", *good[6:]), (*good[:4], "d", "h", *good[6:])], "folds": [good, (*good[:6], 6, 0.7)]}.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "series string, run_id string, ts timestamp, horizon string, purge string, embargo string, lookback string, cohort string, fingerprint string, folds int, score double")
+    assert {tuple(r) for r in run_rules.violations(df, ["series"]).collect()} == {("purge", "r0", "purge_below_horizon", "critical"), ("embargo", "r0", "embargo_below_horizon", "critical"), ("lookback", "r0", "purge_below_lookback", "critical"), ("text", "r0", "duration_unreadable", "critical"), ("score", "r0", "suspicious_score", "warning"), ("data", "r1", "fingerprint_changed", "critical"), ("folds", "r1", "folds_changed", "warning")}
+    assert run_rules.violations(df.limit(0), ["series"]).collect() == []
+
+
+def test_multiclass(spark):
+    import math
+
+    from barloom.operators import evaluation
+
+    rows = [("a", 0, [0.5, 0.3, 0.2]), ("a", 1, [0.5, 0.3, 0.2]), ("a", 2, [0.0, 0.0, 1.0]), ("a", None, [1.0, 0.0, 0.0]), ("a", 1, None), ("b", 1, [0.4, 0.4, 0.2]), (None, 0, [2.0, 2.0])]
+    found = {r["g"]: r for r in evaluation.multiclass(spark.createDataFrame(rows, "g string, y int, p array<double>"), "y", "p", ["g"]).collect()}
+    a = found["a"]
+    assert a["n"] == 3 and a["accuracy"] == pytest.approx(2 / 3) and a["cross_entropy"] == pytest.approx(-(math.log(0.5) + math.log(0.3)) / 3, abs=1e-6) and a["macro_f1"] == pytest.approx((2 / 3 + 0 + 1) / 3)
+    assert (found["b"]["accuracy"], found["b"]["macro_f1"]) == (0.0, 0.0) and found[None]["cross_entropy"] == pytest.approx(math.log(2))
