@@ -28,6 +28,8 @@ DIMENSIONS = 1024
 SEED = 20240501
 #: Symbols: 0 stands for whatever is no letter, the rest for letters, a-z first.
 SYMBOLS = 1024
+#: Planes of Unicode with letters: the basic one, the supplementary one and two of ideographs.
+PLANES = 4
 #: Documents whose trigrams are counted together, and different trigrams that are bound together.
 BLOCK_ROWS = 256
 PIECE = 8192
@@ -37,13 +39,13 @@ PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("sc
 
 @functools.lru_cache(maxsize=1)
 def symbol_table() -> np.ndarray:
-    """The symbol of each code point below 65,536; letters beyond a-z share the symbols from 27 on."""
-    return np.array([ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % (SYMBOLS - 27) if c.isalpha() else 0 for c in map(chr, range(65536))], dtype=np.int32)
+    """The symbol of each code point of the planes that hold letters, and 0 at the end for all beyond; letters beyond a-z share the symbols from 27 on."""
+    return np.array([ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % (SYMBOLS - 27) if c.isalpha() else 0 for c in map(chr, range(PLANES * 65536))] + [0], dtype=np.int32)
 
 
 def trigram_codes(text: str | None, symbols: np.ndarray) -> np.ndarray:
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    s = symbols[np.minimum(points, 65535)]
+    s = symbols[np.minimum(points, len(symbols) - 1)]
     s = np.concatenate(([0], s, [0]))
     s = s[np.concatenate(([True], (s[1:] > 0) | (s[:-1] > 0)))]  # runs of other characters count as one
     return (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:] if s.any() else s[:0]

@@ -6,7 +6,9 @@ distinct words, the words that tell it from others among them. Words are ordered
 corpus, rarest first. A pair that meets the threshold must share a word of the template's prefix, its |T| - a + 1 rarest words with
 a = ceil(threshold |T|) (prefix filter); a block with fewer than a template words can't meet it (length filter); and of a pair that shares the
 words at places i and j of their orders, no more than 1 + min(|B| - i, |T| - j) words can be shared (positional filter). What is left is verified
-exactly. None of the filters loses a pair. Of the templates that a block meets, those with which it shares the most words give its labels.
+exactly. None of the filters loses a pair. A template that a block meets gives it its label unless the words they share are part of what the block
+shares with another that it meets: a notice that names the lesser license meets the general one as well, but an identifier of either of two licenses
+gives both.
 
 Texts are read twice: for the words' counts, and to be scanned; the second pass writes a row a text with its counts and the ranks of template words in
 its blocks. Only words of some template's prefix are ever exploded; the templates are a parameter of some hundred words, so their side of the join
@@ -59,7 +61,33 @@ TEMPLATES = (
     ("reserved", "reserved", "All rights reserved"),
     ("proprietary", "proprietary", "Confidential and proprietary: unauthorized copying is prohibited"),
     ("proprietary", "proprietary", "Use of this source code is governed by a proprietary license"),
+    ("proprietary", "proprietary", "governed by a proprietary license"),
+    ("mpl-2.0", "mpl", "Licensed under MPL 2.0"),
+    ("apache-2.0", "apache", "Apache License, Version 2.0"),
+    ("mpl-2.0", "mozilla", "Mozilla Public License Version 2.0"),
+    ("gpl", "general", "GNU General Public License"),
+    ("lgpl", "lesser", "GNU Lesser General Public License"),
+    ("agpl", "affero", "GNU Affero General Public License"),
+    ("bsd", "bsd clause", "BSD 3-Clause License"),
+    ("bsd", "bsd clause", "BSD 2-Clause License"),
+    ("boost", "boost", "Boost Software License, Version 1.0"),
+    ("epl", "eclipse", "Eclipse Public License, Version 2.0"),
+    ("cc-by-nc-sa", "by nc sa", "Licensed under CC BY-NC-SA 4.0"),
+    ("cc-by-nc-nd", "by nc nd", "Licensed under CC BY-NC-ND 4.0"),
+    ("cc-by-nc-sa", "noncommercial sharealike", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc-by-nc-nd", "noncommercial noderivatives", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("cc-by-nd", "noderivatives", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("gpl", "gplv2", "GPLv2"),
+    ("gpl", "gplv3", "GPLv3"),
+    ("lgpl", "lgplv3", "LGPLv3"),
+    ("agpl", "agplv3", "AGPLv3"),
 )
+#: Names of licenses as identifiers of source files give them, without versions where any is meant, and their labels.
+IDENTIFIERS = {
+    "Apache-2.0": "apache-2.0", "MIT": "mit", "ISC": "isc", "BSD": "bsd", "MPL-2.0": "mpl-2.0", "GPL": "gpl", "LGPL": "lgpl", "AGPL": "agpl", "EPL": "epl", "BSL-1.0": "boost", "Unlicense": "unlicense", "CC0-1.0": "cc0",
+    "CC-BY": "cc-by", "CC-BY-SA": "cc-by-sa", "CC-BY-NC": "cc-by-nc", "CC-BY-ND": "cc-by-nd", "CC-BY-NC-SA": "cc-by-nc-sa", "CC-BY-NC-ND": "cc-by-nc-nd",
+}
+TEMPLATES += tuple((label, "spdx " + name.lower().replace("-", " "), f"SPDX-License-Identifier: {name}") for name, label in IDENTIFIERS.items())
 THRESHOLD = 0.8
 #: Words are runs of ASCII letters and digits and of anything beyond ASCII; letters in either case are the same.
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -134,14 +162,15 @@ def scanned(documents: DataFrame, phrases: dict[str, str], order: list[str], ind
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("t_low", F.lower("t")).withColumn("all", broken("t_low"))
     n_words = F.size("all") - (F.get("all", F.lit(0)) == "").cast("int") - ((F.size("all") > 1) & (F.element_at("all", -1) == "")).cast("int")
     ranks = lambda block: F.array_sort(F.transform(F.array_intersect(broken(block), known), lambda w: F.element_at(rank, w)))
-    blocks = F.filter(F.transform(F.split("t_low", BLOCK_END, -1), ranks), lambda b: (F.size(b) >= least))
+    # a block without any word of a prefix can't meet a template
+    blocks = F.filter(F.transform(F.split("t_low", BLOCK_END, -1), ranks), lambda b: (F.size(b) >= least) & F.arrays_overlap(b, F.array(*map(F.lit, prefix))))
     hopeful = F.arrays_overlap("all", F.array(*(F.lit(order[i]) for i in prefix)))
     none = F.expr("cast(array() as array<array<int>>)")
     return texts.select("doc_id", F.monotonically_increasing_id().alias("row"), n_words.cast("long").alias("n_words"), place_of_phrases("t", phrases).alias("p"), F.when(hopeful, blocks).otherwise(none).alias("blocks"))
 
 
 def matching_blocks(texts: DataFrame, index: list[tuple]) -> DataFrame:
-    """(row, block, label, containment): the best templates of every block that meets one."""
+    """(row, block, label, containment): the templates that every block meets, less those that another covers."""
     rows = [(k, label, t, need, telling, j, t[j]) for k, label, t, need, telling in index for j in range(len(t) - need + 1)]
     literal = lambda x: F.array(*map(F.lit, x)) if isinstance(x, list) else F.lit(x)
     names = ("template", "label", "t", "need", "telling", "j", "word")
@@ -153,11 +182,12 @@ def matching_blocks(texts: DataFrame, index: list[tuple]) -> DataFrame:
     pairs = candidates.join(prefixes, "word").filter((F.size("b") >= F.col("need")) & (1 + F.least(F.size("b") - F.col("i") - 1, F.size("t") - F.col("j") - 1) >= F.col("need")))
     # A pair met on several words is verified at its first shared word only.
     first = F.col("word") == F.array_min(F.array_intersect("b", "t"))
-    shared = F.size(F.array_intersect("b", "t"))
-    met = pairs.withColumn("shared", shared).filter(first & (F.col("shared") >= F.col("need")) & (F.size(F.array_intersect("b", "telling")) == F.size("telling")))
-    each = met.select("row", "block", "label", "shared", (F.col("shared") / F.size("t")).alias("containment"))
-    best = each.groupBy("row", "block").agg(F.max("shared").alias("shared"))
-    return each.join(best, ["row", "block", "shared"]).select("row", "block", "label", "containment")
+    met = pairs.withColumn("shared", F.array_intersect("b", "t")).filter(first & (F.size("shared") >= F.col("need")) & (F.size(F.array_intersect("b", "telling")) == F.size("telling")))
+    # a block's list is no longer than the templates
+    each = met.groupBy("row", "block").agg(F.collect_list(F.struct("label", "shared", (F.size("shared") / F.size("t")).alias("containment"))).alias("met"))
+    wider = lambda x, y: (F.size(y["shared"]) > F.size(x["shared"])) & (F.size(F.array_except(x["shared"], y["shared"])) == 0)
+    own = F.filter("met", lambda x: ~F.exists("met", lambda y: wider(x, y)))
+    return each.select("row", "block", F.inline(own)).select("row", "block", "label", "containment")
 
 
 def _plain_words(text: str) -> list[str]:
@@ -200,8 +230,8 @@ b AS (SELECT r, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT
 t AS (SELECT label, list_distinct({listed(low('notice'))}) AS ts, string_split(must, ' ') AS ms FROM (VALUES {template_rows}) v(label, must, notice)),
 l AS (SELECT r, unnest(string_split_regex(regexp_replace(regexp_replace(lower(text), '([.!?])(\\s)', chr(1) || '\\2', 'g'), '\\n([ \\t#*/;>-]*\\n)+', chr(1), 'g'), chr(1))) AS line FROM d),
 k AS (SELECT r, row_number() OVER () AS i, list_distinct({listed('line')}) AS bs FROM l),
-s AS (SELECT r, i, label, len(list_intersect(bs, ts)) AS c, len(ts) AS n FROM k, t WHERE list_has_all(bs, ms) AND len(list_intersect(bs, ts)) >= ceil({threshold} * len(ts) - 1e-9)),
-m AS (SELECT r, label, c / n AS c FROM s QUALIFY c = max(c) OVER (PARTITION BY i)),
+s AS (SELECT r, i, label, list_intersect(bs, ts) AS sh, len(list_intersect(bs, ts)) AS c, len(ts) AS n FROM k, t WHERE list_has_all(bs, ms) AND len(list_intersect(bs, ts)) >= ceil({threshold} * len(ts) - 1e-9)),
+m AS (SELECT r, label, c / n AS c FROM s WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.i = s.i AND o.c > s.c AND list_has_all(o.sh, s.sh))),
 g AS (SELECT r, list(DISTINCT label) AS ls, max(c) AS c FROM m GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
   coalesce(array_to_string(list_sort(b.ls), ','), '') AS base_labels,

@@ -23,6 +23,18 @@ CASES = [
     ("We released the song under the license of the label.", ""),
     ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:", "bsd"),
     ("The MIT campus.\n\nReleased under the license.", ""),
+    ("Licensed under CC BY-NC-SA 4.0", "cc-by-nc-sa,cc-by"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "cc-by-nc-sa"),
+    ("// SPDX-License-Identifier: MIT\nint main;", "mit"),
+    ("# SPDX-License-Identifier: MIT OR Apache-2.0", "mit,apache-2.0"),
+    ("SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl"),
+    ("SPDX-License-Identifier: CC-BY-SA-4.0", "cc-by-sa,cc-by"),
+    ("GPLv3", "gpl"),
+    ("Licensed under MPL 2.0", "mpl-2.0"),
+    ("governed by a proprietary license", "proprietary"),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3", "gpl,agpl"),
+    ("Apache License\nVersion 2.0, January 2004", "apache-2.0"),
+    ("The general public met a gnu.", ""),
     ("", ""),
 ]
 
