@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 Step = Mapping[str, str]
 KEY = "PARTITION BY symbol ORDER BY ts"
@@ -63,3 +64,9 @@ def steps_sql(relation: str, columns: Sequence[str], *steps: Step) -> str:
         relation = f"(SELECT {', '.join([*kept, *(f'{e} AS {c}' for c, e in step.items())])} FROM {relation})"
         held = [*kept, *step]
     return relation
+
+
+def correlation(x: str, y: str) -> Column:
+    """Pearson's correlation over rows where both are there; null without spread in either, where the built-in one divides by zero."""
+    a, b = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.portable import correlation
 from barloom.sources.scratch import fresh_folder
 
 #: Buckets of a series' values, and the share of rows on either side of a quantile that are looked at exactly.
@@ -154,7 +155,7 @@ def mismatches(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: st
 def correlations(df: DataFrame, features: list[str]) -> DataFrame:
     """fa, fb, corr of every pair of columns, in one pass over rows as wide as they are."""
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1 :]]
-    found = df.agg(*(F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)))
+    found = df.agg(*(correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)))
     listed = F.array(*(F.struct(F.lit(a).alias("fa"), F.lit(b).alias("fb"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)))
     return found.select(F.explode(listed).alias("x")).select("x.*")
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions.portable import correlation
+
 CALENDAR = ("hour", "day_of_week", "day_of_month", "month", "year", "is_weekend", "is_holiday", "quarter", "week_of_year")
 
 
@@ -16,12 +18,12 @@ def near_copies(df: DataFrame, features: Sequence[str], label: str, binary: bool
     least_corr or more; features whose names hold a calendar word are never leaks. One scan for all features; without labelled rows the shares are null."""
     y, held = F.col(label).cast("double"), df.filter(F.col(label).isNotNull())
     share = lambda x, to: F.avg(F.coalesce(F.abs(x - to) < near, F.lit(False)).cast("int"))
-    facts = [F.struct(F.lit(f).alias("feature"), F.count("*").alias("n"), share(F.col(f), y).alias("match"), share(F.col(f), 1 - y).alias("match_flipped"), F.corr(f, label).alias("corr")) for f in features]
+    facts = [F.struct(F.lit(f).alias("feature"), F.count("*").alias("n"), share(F.col(f), y).alias("match"), share(F.col(f), 1 - y).alias("match_flipped"), correlation(f, label).alias("corr")) for f in features]
     rows = held.agg(F.array(*facts).alias("f")).select(F.inline("f"))
     exempt = F.lit(False)
     for word in calendar:
         exempt = exempt | F.lower("feature").contains(word)
-    copied = (F.greatest("match", "match_flipped") >= least_match) if binary else ((F.abs("corr") >= least_corr) & ~F.isnan("corr"))
+    copied = (F.greatest("match", "match_flipped") >= least_match) if binary else (F.abs("corr") >= least_corr)
     return rows.withColumn("calendar", exempt).withColumn("leak", F.coalesce(copied & ~exempt, F.lit(False)))
 
 

@@ -12,6 +12,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.portable import correlation
+
 
 def assembled(rows: DataFrame, features: list[str]) -> DataFrame:
     """Rows without nulls, their features as one vector."""
@@ -20,7 +22,7 @@ def assembled(rows: DataFrame, features: list[str]) -> DataFrame:
 
 def univariate(rows: DataFrame, features: list[str], label: str) -> DataFrame:
     """method, feature, importance: the F statistic of a line through each feature alone, in one pass."""
-    found = rows.agg(*(F.corr(f, label).alias(f"r{i}") for i, f in enumerate(features)), *(F.count_if(F.col(f).isNotNull() & F.col(label).isNotNull()).alias(f"n{i}") for i, f in enumerate(features)))
+    found = rows.agg(*(correlation(f, label).alias(f"r{i}") for i, f in enumerate(features)), *(F.count_if(F.col(f).isNotNull() & F.col(label).isNotNull()).alias(f"n{i}") for i, f in enumerate(features)))
     listed = F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n")) for i, f in enumerate(features)))
     r2 = F.pow("x.r", 2)
     return found.select(F.explode(listed).alias("x")).select(F.lit("f_test").alias("method"), "x.feature", F.coalesce(F.try_divide(r2 * (F.col("x.n") - 2), 1 - r2), F.lit(0.0)).alias("importance"))
@@ -78,7 +80,7 @@ def evaluate_target(rows: DataFrame, features: list[str], label: str, folds: int
             continue
         model = LinearRegression(featuresCol="vec", labelCol=label, regParam=0.01).fit(train)
         test = model.transform(data.filter(F.col("fold") == k))
-        r = test.agg(F.count("*").alias("n"), F.corr(label, "prediction").alias("ic"), F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("mae")).first()
+        r = test.agg(F.count("*").alias("n"), correlation(label, "prediction").alias("ic"), F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("mae")).first()
         out.append((k, n, r["n"], r["ic"], r["mae"]))
     data.unpersist()
     return rows.sparkSession.createDataFrame(out, "fold int, n_train long, n_test long, ic double, mae double")
@@ -90,7 +92,7 @@ def views(rows: DataFrame, features: list[str], label: str, symbols: int = 3, le
     for its agreeing with the whole's sign, a quarter for up to 400 rows."""
     data = assembled(rows, features).dropna(subset=[label]).persist(StorageLevel.MEMORY_AND_DISK)
     split = data.select("ts").distinct().withColumn("half", F.ntile(4).over(Window.orderBy("ts"))).filter("half = 4").agg(F.min("ts").alias("t")).first()["t"]  # a row a time
-    suspects = [f for f, r in zip(features, data.agg(*(F.corr(f, label) for f in features)).first(), strict=True) if r is not None and abs(r) > leak]
+    suspects = [f for f, r in zip(features, data.agg(*(correlation(f, label) for f in features)).first(), strict=True) if r is not None and abs(r) > leak]
     early, late = data.filter(F.col("ts") < F.lit(split)), data.filter(F.col("ts") >= F.lit(split))
     largest = [r["symbol"] for r in data.groupBy("symbol").count().orderBy(F.desc("count"), "symbol").limit(symbols).collect()]
     asked = [("cross_sectional", None, early, late)]
@@ -98,7 +100,7 @@ def views(rows: DataFrame, features: list[str], label: str, symbols: int = 3, le
     asked += [("leave_one_out", s, early.filter(F.col("symbol") != s), late.filter(F.col("symbol") == s)) for s in largest]
     out = []
     for view, name, train, test in asked:
-        r = LinearRegression(featuresCol="vec", labelCol=label, regParam=0.01).fit(train).transform(test).agg(F.corr(label, "prediction").alias("ic"), F.count("*").alias("n")).first()
+        r = LinearRegression(featuresCol="vec", labelCol=label, regParam=0.01).fit(train).transform(test).agg(correlation(label, "prediction").alias("ic"), F.count("*").alias("n")).first()
         out.append((view, name, r["ic"], r["n"]))
     data.unpersist()
     sign = np.sign(out[0][2] or 0.0)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as fn
 
-from barloom.operators import coverage, gating, leak_scores, segments, splits
+from barloom.functions.portable import correlation
+from barloom.operators import coverage, drift, gating, leak_scores, segments, splits, validation
 from barloom.plans.bar_queries import KEY, NY, F, L
 from barloom.plans.panel_queries import features
 from barloom.plans.registry import NUDGE, sql_op
@@ -126,7 +127,7 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = features(spark, sf_dir).unpivot(["symbol", "ts", "y"], ["f1", "f2", "f4"], "feature", "x").dropna(subset=["x", "y"])
     k, early = fn.col("symbol").cast("int"), fn.year("ts") < 1995
     hit, more = fn.when((fn.col("x") > 0) == (fn.col("y") < 0), 1.0).otherwise(0.0), fn.when(k % 5 == 0, 0.45).otherwise(0.0)
-    models = long.groupBy("symbol", "feature").agg((fn.avg(hit) + more).alias("s"), fn.abs(fn.corr("x", "y")).alias("imp"), (fn.avg(fn.when(early, hit)) + more).alias("early"), (fn.avg(fn.when(~early, hit)) + fn.when(k % 10 == 0, 0.45).otherwise(0.0)).alias("late"))
+    models = long.groupBy("symbol", "feature").agg((fn.avg(hit) + more).alias("s"), fn.abs(correlation("x", "y")).alias("imp"), (fn.avg(fn.when(early, hit)) + more).alias("early"), (fn.avg(fn.when(~early, hit)) + fn.when(k % 10 == 0, 0.45).otherwise(0.0)).alias("late"))
     table = models.groupBy("symbol").agg(fn.avg("s").alias("auc"), fn.stddev_pop("s").alias("sd"), fn.count("*").alias("n_models"), (3 * fn.avg("imp")).alias("mean_importance"), fn.max("early").alias("train"), fn.avg("late").alias("cv"), fn.min("late").alias("val"), (fn.max("imp") / fn.sum("imp")).alias("top_share"), fn.map_from_entries(fn.collect_list(fn.struct("feature", "s"))).alias("model_scores"))
     named = table.withColumns({"task": fn.when(k % 3 == 0, "regression").when(k % 3 == 1, "binary").otherwise("multiclass"), "target": fn.when(k % 2 == 0, "fwd_ret_5").otherwise("up")})
     judged = leak_scores.leak_status(named.withColumn("composite", leak_scores.composite()))
@@ -149,3 +150,64 @@ sql_op(
     _SCORED,
     by=_scores,
 )
+
+
+# Runs of a symbol and month against the last one of an odd or even month alike; the positive rate is critical.
+def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = _runs(spark, sf_dir).withColumns({"run_id": fn.date_format("ts", "yyyy-MM"), "parity": fn.when(fn.month("ts") != 3, fn.month("ts") % 2)})
+    return drift.metric_drift(runs, ["symbol"], ["parity"], ["auc", "pos_rate"], {"pos_rate"}).select("symbol", "run_id", "baseline_id", "metric", "now", "base", "delta", "rel_delta", "tier", "status")
+
+
+_DRIFT = {
+    **_FRAME,
+    "signed": "SELECT symbol, strftime(ts, '%Y-%m') AS run_id, month(ts) % 2 AS parity, auc, pos_rate FROM {runs} WHERE month(ts) <> 3",
+    "based": "SELECT a.symbol, a.run_id, max(b.run_id) AS baseline_id FROM {signed} a JOIN {signed} b ON a.symbol = b.symbol AND a.parity = b.parity AND b.run_id < a.run_id GROUP BY 1, 2",
+    "pairs": "SELECT p.symbol, p.run_id, baseline_id, metric, now, base FROM {based} p JOIN (SELECT symbol, run_id, unnest(['auc', 'pos_rate']) AS metric, unnest([auc, pos_rate]) AS now FROM {signed}) a ON p.symbol = a.symbol AND p.run_id = a.run_id JOIN (SELECT symbol, run_id, unnest(['auc', 'pos_rate']) AS m, unnest([auc, pos_rate]) AS base FROM {signed}) b ON p.symbol = b.symbol AND baseline_id = b.run_id AND m = metric WHERE now IS NOT NULL AND base IS NOT NULL",
+    "sized": "SELECT *, now - base AS delta, (now - base) / nullif(base, 0) AS rel, abs(CASE WHEN base = 0 THEN now ELSE (now - base) / base END) AS size, CASE WHEN metric = 'auc' THEN CASE WHEN base = 0 THEN [0.01, 0.1] ELSE [0.05, 0.2] END ELSE CASE WHEN base = 0 THEN [0.001, 0.01] ELSE [0.01, 0.03] END END AS lim FROM {pairs}",
+}
+sql_op("drf_1_metrics", f"SELECT symbol, run_id, baseline_id, metric, {R('now')} AS now, {R('base')} AS base, {R('delta')} AS delta, {R('rel')} AS rel_delta, CASE WHEN size < lim[1] THEN 'OK' WHEN size < lim[2] THEN 'WARN' ELSE 'ALERT' END AS tier, CASE WHEN size < lim[1] THEN 'STABLE' WHEN size < lim[2] THEN 'DRIFTING' ELSE 'DIVERGED' END AS status FROM {{sized}}", _DRIFT, by=_drift)
+
+
+# A run a symbol and year: a feature's importance is its absolute correlation with the label; every third year lacks f3.
+def _yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = features(spark, sf_dir).unpivot(["symbol", "ts", "y"], ["f1", "f2", "f3", "f4"], "feature", "x").dropna(subset=["x", "y"])
+    each = long.groupBy("symbol", fn.year("ts").alias("ts"), "feature").agg(fn.round(fn.coalesce(fn.abs(correlation("x", "y")), fn.lit(0.0)), 9).alias("importance"))
+    score = fn.expr("round(avg(importance) OVER (PARTITION BY symbol, ts), 9)")
+    return each.withColumn("score", score).filter("NOT (feature = 'f3' AND ts % 3 = 0)").withColumn("run_id", fn.col("ts").cast("string"))
+
+
+_YEARLY = {
+    **L,
+    "each": "SELECT symbol, year(ts) AS yr, feature, round(CASE WHEN stddev_pop(x) > 0 AND stddev_pop(y) > 0 THEN abs(corr(x, y)) ELSE 0.0 END, 9) AS importance FROM {long} WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2, 3",
+    "snaps": "SELECT symbol, yr, dense_rank() OVER (PARTITION BY symbol ORDER BY yr) AS r, feature, importance, score, row_number() OVER (PARTITION BY symbol, yr ORDER BY importance DESC, feature) <= 2 AS best FROM (SELECT *, round(avg(importance) OVER (PARTITION BY symbol, yr), 9) AS score FROM {each}) q WHERE NOT (feature = 'f3' AND yr % 3 = 0)",
+    "steps": "SELECT DISTINCT a.symbol, a.yr, a.r, a.score, b.score AS was FROM {snaps} a LEFT JOIN {snaps} b ON a.symbol = b.symbol AND b.r = a.r - 1",
+    "united": "SELECT coalesce(a.symbol, b.symbol) AS symbol, coalesce(a.r, b.r + 1) AS r, coalesce(a.importance, 0) AS x, coalesce(b.importance, 0) AS y, coalesce(a.best, false) AS t, coalesce(b.best, false) AS u FROM {snaps} a FULL JOIN {snaps} b ON a.symbol = b.symbol AND a.r = b.r + 1 AND a.feature = b.feature",
+    "ranks": "SELECT symbol, r, t, u, rank() OVER (PARTITION BY symbol, r ORDER BY x) + (count(*) OVER (PARTITION BY symbol, r, x) - 1) / 2.0 AS p, rank() OVER (PARTITION BY symbol, r ORDER BY y) + (count(*) OVER (PARTITION BY symbol, r, y) - 1) / 2.0 AS q FROM {united}",
+    "alike": "SELECT symbol, r, count(*) FILTER (WHERE t AND u) / nullif(count(*) FILTER (WHERE t OR u), 0) AS overlap, CASE WHEN stddev_pop(p) > 0 AND stddev_pop(q) > 0 THEN corr(p, q) END AS corr FROM {ranks} GROUP BY symbol, r",
+    "facts": "SELECT s.symbol, yr, s.r, abs(score - was) AS d, CASE WHEN s.r > 1 THEN overlap END AS o, CASE WHEN s.r > 1 THEN corr END AS c FROM {steps} s JOIN {alike} a ON s.symbol = a.symbol AND s.r = a.r",
+}
+sql_op(
+    "stb_4_runs",
+    f"SELECT symbol, CAST(yr AS VARCHAR) AS run_id, {R('d')} AS delta_score, {R('o')} AS overlap, {R('c')} AS corr, CASE WHEN r = 1 THEN 'no_previous_run' WHEN coalesce(d > 0.05, false) OR coalesce(o < 0.3, false) OR coalesce(c < 0.1, false) THEN 'unstable' WHEN coalesce(d > 0.035, false) OR coalesce(o < 0.33, false) OR coalesce(c < 0.11, false) THEN 'borderline' ELSE 'stable' END AS status FROM {{facts}}",
+    _YEARLY,
+    by=lambda s, d: drift.reproducibility(_yearly(s, d), ["symbol"], 2, 0.05, 0.3, 0.1).select("symbol", "run_id", "delta_score", "overlap", "corr", "status"),
+)
+
+
+# Features, labels and predictions with values missing, without end, constant or out of range.
+def _spoilt_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = {
+        "f1": "CASE WHEN f4 > 1 THEN CAST('inf' AS DOUBLE) ELSE f1 END", "f3": "CASE WHEN f4 > 0.5 THEN CAST('nan' AS DOUBLE) ELSE f3 END", "same": "CASE WHEN f2 IS NOT NULL THEN 3 END",
+        "mostly": "CASE WHEN f1 > 0.3 THEN y END", "fwd_ret_5": "3 * f2", "will_peak": "y", "mdd_5": "CASE WHEN f2 > 0 THEN 1 ELSE 0 END",
+    }
+    df = features(spark, sf_dir)
+    return df.select("symbol", "ts", "f2", "y", *(fn.expr(e).cast("double").alias(c) for c, e in made.items()))
+
+
+_SPOILT = {**F, "odd": "SELECT symbol, ts, f2, y, CASE WHEN f4 > 1 THEN CAST('inf' AS DOUBLE) ELSE f1 END AS f1, CASE WHEN f4 > 0.5 THEN CAST('nan' AS DOUBLE) ELSE f3 END AS f3, CAST(CASE WHEN f2 IS NOT NULL THEN 3 END AS DOUBLE) AS same, CASE WHEN f1 > 0.3 THEN y END AS mostly, 3 * f2 AS fwd_ret_5, y AS will_peak, CAST(CASE WHEN f2 > 0 THEN 1 ELSE 0 END AS DOUBLE) AS mdd_5 FROM {feats}"}
+_KINDS = {"f1": "feature", "f2": "feature", "f3": "feature", "same": "feature", "y": "target", "mostly": "target", "fwd_ret_5": "prediction", "will_peak": "prediction", "mdd_5": "prediction"}
+_SPOILT["flat"] = " UNION ALL ".join(f"SELECT '{c}' AS name, '{k}' AS kind, {c} AS x, {c} IS NULL OR isnan({c}) AS gone FROM {{odd}}" for c, k in _KINDS.items())
+_SPOILT["told"] = "SELECT name, kind, count(*) AS n, count(*) FILTER (WHERE gone) AS n_missing, count(*) FILTER (WHERE isinf(x)) AS n_inf, count(*) FILTER (WHERE gone) / count(*) AS missing, count(DISTINCT x) FILTER (WHERE NOT gone) = 1 AS constant, min(x) FILTER (WHERE isfinite(x)) AS lo, max(x) FILTER (WHERE isfinite(x)) AS hi, avg(x) FILTER (WHERE isfinite(x)) AS mean, stddev_pop(x) FILTER (WHERE isfinite(x)) AS sd FROM {flat} GROUP BY name, kind"
+_PROBLEMS = "concat_ws(',', CASE WHEN constant AND kind <> 'prediction' THEN 'constant' END, CASE WHEN name = 'fwd_ret_5' AND abs(hi) > 2 THEN 'extreme' END, CASE WHEN n_inf > 0 THEN 'infinite' END, CASE WHEN missing > 0.1 AND NOT (kind = 'target' AND missing > 0.5) THEN 'missing' END, CASE WHEN kind = 'target' AND missing > 0.5 THEN 'mostly_missing' END, CASE WHEN name IN ('will_peak', 'mdd_5') AND (lo < 0 OR hi > 1) THEN 'outside_unit' END)"
+sql_op("qa_16_columns", f"SELECT name, kind, n, n_missing, n_inf, {R('missing')} AS missing, constant, {_PROBLEMS} AS problems, NOT (kind = 'target' AND (constant OR missing > 0.5)) AS valid FROM {{told}}", _SPOILT, by=lambda s, d: validation.column_report(_spoilt_panel(s, d), ["f1", "f2", "f3", "same"], ["y", "mostly"], ["fwd_ret_5", "will_peak", "mdd_5"]).select("name", "kind", "n", "n_missing", "n_inf", "missing", "constant", fn.array_join("problems", ",").alias("problems"), "valid"))
+sql_op("ag_12_columns", f"SELECT name, kind, {R('mean')} AS mean, {R('sd')} AS sd, {R('lo')} AS lo, {R('hi')} AS hi, p.* FROM {{told}} JOIN (SELECT count(*) AS n, count(DISTINCT ts) AS n_times, round(count(*) / count(DISTINCT ts) + 3e-8, 6) AS per_time, CAST(min(ts) AS STRING) AS first_ts, CAST(max(ts) AS STRING) AS last_ts FROM {{odd}}) p ON true WHERE name IN ('f1', 'f2', 'f3', 'y')", _SPOILT, by=lambda s, d: validation.panel_stats(_spoilt_panel(s, d), ["f1", "f2", "f3"], "y"))

@@ -13,7 +13,7 @@ SOME = [
     *("tg_1 tg_2 tg_6 tg_7 tg_9 tg_12 tg_15 tg_16 tg_17 csx_1 csx_2 csx_6 csx_7 csx_8 csx_11 csx_12 csx_16 csx_17 set_4").split(),
     *("csx_17_windows csx_17_ahead csx_17_checks csx_12_fences csx_12_extremes qa_5_matrix qa_13_stages trd_1_series trd_1_breaks drf_2_changes ag_18_consensus").split(),
     *("src_1_mixed src_1_rounding src_4_batch src_5_universe src_5_audit src_6_texts prj_2_policies jn_3 jn_3_changes qa_1_intervals qa_4_copies ag_21_winners ag_23_candidates rte_1_routes rte_2_routes dec_1_rules ft_60_indicators stb_1_pairs stb_1_summary ev_4_classes qa_17_rules").split(),
-    *("ag_3_timeframe ag_3_steps ag_6_coverage prj_11_sanity csx_9_splits csx_9_reduced csx_10_parts csx_15_frame csx_18_gated csx_18_summary qa_6_scores").split(),
+    *("ag_3_timeframe ag_3_steps ag_6_coverage prj_11_sanity csx_9_splits csx_9_reduced csx_10_parts csx_15_frame csx_18_gated csx_18_summary qa_6_scores drf_1_metrics stb_4_runs qa_16_columns ag_12_columns").split(),
     *("qa_1 qa_5 qa_11 qa_12 ev_1 ev_3 ev_5 stb_1 trd_1 rte_1 str_1 str_2 str_3 str_4").split(),
 ]
 

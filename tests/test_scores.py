@@ -8,7 +8,8 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import coverage, gating, leak_scores, segments, splits
+from barloom.functions.portable import correlation
+from barloom.operators import coverage, drift, gating, label_checks, leak_scores, segments, splits, validation
 
 DAY = datetime.datetime(2024, 1, 2)
 BARS = "symbol string, ts timestamp, open double, high double, low double, close double, volume long, n_trades long"
@@ -134,3 +135,66 @@ def test_composite_suspicion_and_gate(spark):
     found = made.select(leak_scores.suspicion(), leak_scores.skip_reason(), leak_scores.skip_reason(most_features=5)).collect()
     assert [r[0] for r in found] == [pytest.approx(c[3]) for c in cases] and [r[1] for r in found] == [c[4] for c in cases]
     assert [r[2] for r in found] == [c[4] if c[4] != "none" else "n_features" for c in cases]
+
+
+def test_correlation_without_spread(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 1.0, 5.0), (4.0, None, 5.0), (None, 3.0, None)], "x double, y double, c double")
+    r = df.select(correlation("x", "y"), correlation("x", "c"), correlation("c", "y")).first()
+    assert tuple(r) == (pytest.approx(-1.0), None, None)
+    found = {r["feature"]: (r["corr"], r["leak"]) for r in label_checks.near_copies(df, ["x", "c"], "y", binary=False).collect()}
+    assert found["c"] == (None, False) and found["x"] == (pytest.approx(-1.0), True)
+
+
+def test_metric_drift(spark):
+    """Baselines by signature, limits of plain and critical metrics, absolute ones for a baseline of 0, values that aren't there."""
+    nan = float("nan")
+    rows = [("A", f"r{k}", k, sig, auc, pos) for k, (sig, auc, pos) in enumerate([("s", 0.5, 0.0), ("t", 9.0, 9.0), ("s", 0.52, 0.005), (None, 0.1, 0.1), ("s", 0.56, 0.005), ("s", nan, 0.0052), ("s", 0.1, None)])]
+    df = spark.createDataFrame([*rows, ("B", "x", 0, "s", 1.0, 1.0)], "symbol string, run_id string, ts int, sig string, auc double, pos double")
+    found = {(r["run_id"], r["metric"]): (r["baseline_id"], r["tier"], r["rel_delta"] is None) for r in drift.metric_drift(df, ["symbol"], ["sig"], ["auc", "pos"], {"pos"}).collect()}
+    assert found == {("r2", "auc"): ("r0", "OK", False), ("r2", "pos"): ("r0", "WARN", True), ("r4", "auc"): ("r2", "WARN", False), ("r4", "pos"): ("r2", "OK", False), ("r5", "pos"): ("r4", "ALERT", False)}
+    assert drift.metric_drift(df.limit(0), ["symbol"], ["sig"], ["auc"]).collect() == []
+
+
+def test_reproducibility(spark):
+    """Against plain Python: features that come and go, ties, scores that are missing, a run without spread."""
+    runs = {"a": (0.5, {"f": 3.0, "g": 2.0, "h": 1.0}), "b": (0.504, {"f": 3.0, "g": 2.5, "h": 1.0}), "c": (0.6, {"f": 1.0, "k": 2.0, "h": 2.0}), "d": (None, {"f": 1.0, "k": 1.0, "h": 1.0}), "e": (0.6, {"f": 1.0})}
+    rows = [("S", n, k, s, f, i) for k, (n, (s, imp)) in enumerate(runs.items()) for f, i in imp.items()]
+    df = spark.createDataFrame([*rows, ("S", "a", 0, 0.5, None, 9.0), ("T", "z", 0, 0.1, "f", None)], "symbol string, run_id string, ts int, score double, feature string, importance double")
+
+    def ranks(values):
+        return [sum(w < v for w in values) + (sum(w == v for w in values) + 1) / 2 for v in values]
+
+    def best(imp):
+        return set(sorted(imp, key=lambda f: (-imp[f], f))[:2])
+
+    want, names = {("S", "a"): (None, None, None, "no_previous_run"), ("T", "z"): (None, None, None, "no_previous_run")}, list(runs)
+    for old, now in zip(names, names[1:], strict=False):
+        (s0, i0), (s1, i1) = runs[old], runs[now]
+        every = sorted(i0 | i1)
+        p, q = ranks([i1.get(f, 0) for f in every]), ranks([i0.get(f, 0) for f in every])
+        corr = statistics.correlation(p, q) if len(set(p)) > 1 and len(set(q)) > 1 else None
+        delta, overlap = None if s0 is None or s1 is None else abs(s1 - s0), len(best(i0) & best(i1)) / len(best(i0) | best(i1))
+        bad = lambda d, o, c: (delta is not None and delta > d) or overlap < o or (corr is not None and corr < c)  # noqa: B023, E731
+        want["S", now] = (delta, overlap, corr, "unstable" if bad(0.01, 0.7, 0.7) else "borderline" if bad(0.007, 0.77, 0.77) else "stable")
+    found = {(r["symbol"], r["run_id"]): (r["delta_score"], r["overlap"], r["corr"], r["status"]) for r in drift.reproducibility(df, ["symbol"], 2).collect()}
+    assert found.keys() == want.keys() and want["S", "b"][3] == "stable"
+    for key, values in want.items():
+        assert found[key][3] == values[3] and [v is None for v in found[key]] == [v is None for v in values]
+        assert [v for v in found[key][:3] if v is not None] == pytest.approx([v for v in values[:3] if v is not None])
+    assert drift.reproducibility(df.limit(0), ["symbol"]).collect() == []
+
+
+def test_column_report(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1.0, 5.0, 1.0, 0.5, 1.9, 0.0), (nan, 5.0, None, 0.5, -9.0, 1.0), (inf, None, nan, 0.5, 2.1, 1.1), (None, 5.0, None, 0.5, 0.0, 0.5)]
+    df = spark.createDataFrame(rows, "a double, b double, y double, z double, fwd_ret_5 double, will_peak double")
+    found = {r["name"]: (r["problems"], r["valid"], r["n_missing"], r["n_inf"]) for r in validation.column_report(df, ["a", "b"], ["y", "z"], ["fwd_ret_5", "will_peak"]).collect()}
+    assert found == {"a": (["infinite", "missing"], True, 2, 1), "b": (["constant", "missing"], True, 1, 0), "y": (["constant", "mostly_missing"], False, 3, 0), "z": (["constant"], False, 0, 0), "fwd_ret_5": (["extreme"], True, 0, 0), "will_peak": (["outside_unit"], True, 0, 0)}
+    assert [(r["problems"], r["valid"]) for r in validation.column_report(df.limit(0), ["a"], ["y"]).collect()] == [(["empty"], False)] * 2
+
+
+def test_panel_stats(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (1, float("nan"), None), (2, 3.0, 4.0)], "ts int, a double, y double")
+    found = {r["name"]: tuple(r)[1:] for r in validation.panel_stats(df, ["a"], "y").collect()}
+    assert found == {"a": ("feature", 2.0, 1.0, 1.0, 3.0, 3, 2, 1, 2, 1.5), "y": ("target", 3.0, 1.0, 2.0, 4.0, 3, 2, 1, 2, 1.5)}
+    assert {r["n_times"] for r in validation.panel_stats(df.limit(0), ["a"], "y").collect()} == {0}
