@@ -9,9 +9,9 @@ BAR_COLUMNS = ("symbol", "ts", "open", "high", "low", "close", "volume", "vwap",
 
 
 def ticks_to_bars(ticks: DataFrame, every: str | None = None) -> DataFrame:
-    """ticks(symbol, ts, price, size, tie) to bars. every: a calendar unit as of date_trunc. tie orders ticks of one instant; one shuffle, with
-    partial aggregates before it."""
-    key = F.struct("at", "tie")
+    """ticks(symbol, ts, price, size, tie) to bars. every: a calendar unit as of date_trunc. tie orders ticks of one instant, the price those of one
+    tie; one shuffle, with partial aggregates before it."""
+    key = F.struct("at", "tie", "price")
     held = ticks.withColumn("at", F.col("ts")).withColumn("ts", F.date_trunc(every, "ts").cast(ticks.schema["ts"].dataType) if every else F.col("ts"))
     return held.groupBy("symbol", "ts").agg(
         F.min_by("price", key).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", key).alias("close"),
@@ -48,3 +48,8 @@ TICKS_H = "SELECT event_type AS symbol, ts AS tick, value AS price, CAST(json_ex
 BARS_W = _BARS.format(unit="week", ticks=TICKS_W)
 BARS_H = _BARS.format(unit="hour", ticks=TICKS_H)
 BARS_M = _BARS.format(unit="minute", ticks=TICKS_H)
+
+
+def settled(sql: str) -> str:
+    """The panels' SQL with ticks of one instant and tie ordered by their price too, as ticks_to_bars has them."""
+    return sql.replace("ORDER BY tick, t1, t2)", "ORDER BY tick, t1, t2, price)")
