@@ -33,6 +33,6 @@ def test_bars_of_tied_ticks_know_no_order(spark):
     assert [tuple(r) for r in made] == [(3.0, 5.0)] * 3
 
 
-@pytest.mark.parametrize("name", "csx_11 csx_13 csx_15 csx_6 ev_4_classes ft_2 ft_35".split())
+@pytest.mark.parametrize("name", "csx_11 csx_13 csx_15 csx_6 ev_4_classes ft_2 ft_35 ft_36".split())
 def test_tied_ticks_give_the_rows_of_the_sql(spark, tied, name):
     same(spark, tied, registry.QUERIES[name], registry.SQL[name])
