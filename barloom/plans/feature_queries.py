@@ -22,7 +22,7 @@ for _group, _chain in features.CHAINS.items():
         _chain = (*_chain, {"negative_volume_index": "ln(negative_volume_index)"})  # noqa: PLW2901
     if _group == "FT-33":  # a long running sum: its last places depend on the order of adding
         _chain = (*_chain, {"price_volume_trend": "round(price_volume_trend, 2)"})  # noqa: PLW2901
-    panel_op(_name(_group), features.shown(_group), *_chain, panel="bars_h" if _group in HOURLY else "bars_w")
+    panel_op(_name(_group), features.shown(_group), *_chain, panel="bars_h" if _group in HOURLY else "bars_w", large=_group == "FT-43")
 
 
 def _ewm_op(group: str) -> None:

@@ -33,6 +33,15 @@ def test_bars_of_tied_ticks_know_no_order(spark):
     assert [tuple(r) for r in made] == [(3.0, 5.0)] * 3
 
 
-@pytest.mark.parametrize("name", "csx_11 csx_13 csx_15 csx_6 ev_4_classes ft_2 ft_35 ft_36".split())
+@pytest.mark.parametrize("name", "csx_11 csx_13 csx_15 csx_6 ev_4_classes ft_2 ft_35 ft_36 ft_43".split())
 def test_tied_ticks_give_the_rows_of_the_sql(spark, tied, name):
     same(spark, tied, registry.QUERIES[name], registry.SQL[name])
+
+
+def test_large_numbers_round_by_their_value():
+    """12341997.044287499 has no half in its seventh place; times a million it is the nearest double to one."""
+    x = "(12341997.044287499::DOUBLE - 3e-08)"
+    sql = registry.SQL["ft_43"]
+    start = sql.index("CAST(round(CAST(CAST(CAST(volume_weighted_price")
+    shown = sql[start : sql.index(" AS volume_weighted_price", start)].replace("volume_weighted_price", x)
+    assert duckdb.connect().execute(f"SELECT {shown}").fetchone()[0] == 12341997.044287
