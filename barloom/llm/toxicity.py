@@ -6,8 +6,9 @@ opens a few arcs of a lattice (itself, the letters that it may stand for, nothin
 with fixed channel costs, and Viterbi finds the path that is most likely under them and a character trigram model, in one step a character.
 The restored words, beside the original ones, are scored by logistic regression over their beginnings.
 
-The trigram model, the choice of features and the weights are fitted on one row of each of at most TRAIN_ROWS doc_ids of either label, the first by
-hash, all outside the held-out fold; toxic rows weigh at least half as much as the others. Nothing but the text is an input of a score.
+The trigram model, the choice of features and the weights are fitted on one row of each labelled doc_id outside the held-out fold; toxic rows weigh
+at least half as much as the others. What the rows have of the features to choose from is written once, and counts and weights are made of that by
+Spark; only counts of the most frequent trigrams and features and the weights reach the driver. Nothing but the text is an input of a score.
 
 Defined results: a null text is an empty one, which gets the score of no features. A null doc_id counts as an empty one when the fold is drawn and is
 never learned from; several labels of a doc_id: toxic if any is; several texts of one: the first by hash teaches. Null labels teach nothing.
@@ -23,17 +24,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from barloom.llm.storage import staged
 
-#: doc_ids of either label that the models are fitted on at most; features that get a weight; documents that must hold a feature; rounds of fitting.
-TRAIN_ROWS = 6_000
+#: Features that get a weight; documents that must hold a feature; rounds of fitting at most, and the weight of the squared weights in its loss.
 FEATURES = 768
 LEAST_ROWS = 4
-ROUNDS = 300
+ROUNDS = 100
+PENALTY = 1e-4
+#: Labelled ids, of two numbers, that may go to every task at once: some 8 MB. Beyond that the texts outside the held-out fold are shuffled once.
+MOST_SENT = 500_000
 #: Lengths of word beginnings that are features beside the whole word.
 STEMS = (4, 5, 6, 7, 8)
 #: A beginning that occurs so often in a text is a feature of its own.
@@ -49,6 +54,8 @@ READ, DROP, REPEAT, KEEP = 0.5, 0.1, 1.5, 8.0
 #: Stands for whatever separates single letters; decoded stretches up to this length are kept for the next time.
 GAP = " "
 KEPT_CHARS = 64
+#: Words that a task keeps counts or stems of; then it starts anew.
+KEPT_WORDS = 200_000
 
 
 @functools.lru_cache(maxsize=1)
@@ -156,6 +163,19 @@ class Known:
         self.features = frozenset(features)
         self.heads = frozenset(f[1:5] for f in self.features)
         self.stems = frozenset(f[1:] for f in self.features if f[0] != "=")
+        self.seen: dict[str, list[str]] = {}
+
+    def stems_of(self, word: str) -> list[str]:
+        found = self.seen.get(word)
+        if found is None:
+            if len(self.seen) > KEPT_WORDS:
+                self.seen.clear()
+            found = self.seen[word] = [s for s in _stems(word) if s in self.stems]
+        return found
+
+
+def _stems(word: str) -> list[str]:
+    return [word[:size] for size in STEMS if len(word) >= size]
 
 
 def features_of(text: str | None, decoder: Decoder | None, known: Known | None = None) -> set[str]:
@@ -171,12 +191,10 @@ def features_of(text: str | None, decoder: Decoder | None, known: Known | None =
         heads = known.heads
         words = {w: n for w, n in words.items() if w[:4] in heads}
     stems: Counter = Counter()
+    stems_of = _stems if known is None else known.stems_of
     for word, n in words.items():
-        for size in STEMS:
-            if len(word) < size:
-                break
-            if known is None or word[:size] in known.stems:
-                stems[word[:size]] += n
+        for stem in stems_of(word):
+            stems[stem] += n
     out = {"=" + w for w in words if len(w) > 2}
     out.update(f"{k}{stem}" for stem, n in stems.items() for k in TIMES if n >= k)
     return out if known is None else out & known.features
@@ -186,28 +204,39 @@ def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, toxic) of the labelled rows to learn from, one for each of at most 2 * rows ids; only ids are broadcast, so other texts stay where
-    they are read."""
+def training_rows(documents: DataFrame, labels: DataFrame, rows: int | None = None) -> DataFrame:
+    """(text, toxic) of the labelled rows to learn from, one for each id. rows: for the first so many ids of either label by hash alone. Only
+    ids are broadcast, and so many at most, so other texts stay where they are read."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold() != 0)).groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    first = lambda k: known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    chosen = first(0).union(first(1))
-    held = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    if rows is not None:
+        first = lambda k: known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+        known = first(0).union(first(1))
+    chosen = F.broadcast(known) if known.count() <= MOST_SENT else known
+    held = documents.select("doc_id", "text").filter(fold() != 0).join(chosen, "doc_id")
     return held.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def fit_decoder(rows: DataFrame, trigrams: int = TRIGRAMS) -> Decoder:
     """Counts of the most frequent character trigrams in the rows' words, toxic rows weighing as much as all others together."""
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def grams(words: list[Counter]) -> pd.DataFrame:
         counts: list[Counter] = [Counter(), Counter()]
+        for toxic, held in enumerate(words):
+            for word, n in held.items():
+                padded = f"  {word} "
+                for i in range(len(padded) - 2):
+                    counts[toxic][padded[i : i + 3]] += n
+            held.clear()
+        return pd.DataFrame([(g, k, n) for k, c in enumerate(counts) for g, n in c.items()], columns=["gram", "toxic", "n"])
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: list[Counter] = [Counter(), Counter()]
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                for word, n in Counter(taken_apart((text or "").lower())[0]).items():
-                    padded = f"  {word} "
-                    for i in range(len(padded) - 2):
-                        counts[toxic][padded[i : i + 3]] += n
-        yield pd.DataFrame([(g, k, n) for k, c in enumerate(counts) for g, n in c.items()], columns=["gram", "toxic", "n"])
+                words[toxic].update(taken_apart((text or "").lower())[0])
+                if len(words[toxic]) > KEPT_WORDS:
+                    yield grams(words)
+        yield grams(words)
 
     summed = rows.mapInPandas(counted, "gram string, toxic int, n long").groupBy("gram").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
     found = summed.orderBy(F.desc(F.col("t") + F.col("c")), "gram").limit(trigrams).collect()
@@ -215,54 +244,55 @@ def fit_decoder(rows: DataFrame, trigrams: int = TRIGRAMS) -> Decoder:
     return Decoder({r["gram"]: round(r["t"] * weight) + r["c"] for r in found})
 
 
-def _document_counts(rows: DataFrame, decoder: Decoder, known: Known | None) -> DataFrame:
+def candidate_features(rows: DataFrame, decoder: Decoder, candidates: int = CANDIDATES) -> list[str]:
+    """The features that are most frequent in toxic rows."""
+
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
         for batch in batches:
             for text in batch["text"]:
-                counts.update(features_of(text, decoder, known))
+                counts.update(features_of(text, decoder))
+                if len(counts) > 10 * KEPT_WORDS:
+                    yield pd.DataFrame(list(counts.items()), columns=["feature", "n"])
+                    counts.clear()
         yield pd.DataFrame(list(counts.items()), columns=["feature", "n"])
 
-    return rows.mapInPandas(counted, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    summed = rows.filter("toxic = 1").mapInPandas(counted, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return [r["feature"] for r in summed.filter(F.col("n") >= LEAST_ROWS).orderBy(F.desc("n"), "feature").limit(candidates).collect()]
+
 
+def marked_rows(rows: DataFrame, decoder: Decoder, listed: list[str]) -> DataFrame:
+    """(held, toxic): the places in the list of the features that each row holds."""
+    place = {f: i for i, f in enumerate(listed)}
+    known = Known(listed)
 
-def choose_features(rows: DataFrame, decoder: Decoder, features: int, held: dict[int, int], candidates: int = CANDIDATES) -> list[str]:
-    """The features whose presence says most about the label, by the squared difference of their shares over their variance, among
-    those most frequent in toxic rows. held: the number of rows of each label."""
-    toxic = _document_counts(rows.filter("toxic = 1"), decoder, None).filter(F.col("n") >= LEAST_ROWS).orderBy(F.desc("n"), "feature").limit(candidates)
-    t = {r["feature"]: r["n"] for r in toxic.collect()}
-    c = {r["feature"]: r["n"] for r in _document_counts(rows.filter("toxic = 0"), decoder, Known(t)).collect()}
+    def active(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"held": [sorted(map(place.__getitem__, features_of(t, decoder, known))) for t in batch["text"]], "toxic": batch["toxic"].astype("int32")})
 
-    def power(f: str) -> float:
-        share = (t[f] + c.get(f, 0)) / (held[0] + held[1])
-        return (t[f] / held[1] - c.get(f, 0) / held[0]) ** 2 / (share * (1 - share) + 1e-6)
+    return rows.mapInPandas(active, "held array<int>, toxic int")
 
-    return sorted(sorted(t, key=lambda f: (-power(f), f))[:features])
 
+def choose_features(marked: DataFrame, listed: list[str], features: int, held: dict[int, int]) -> list[int]:
+    """The places of the features whose presence says most about the label, by the squared difference of their shares over their variance.
+    held: the number of rows of each label."""
+    counts = np.zeros((2, len(listed)))
+    for r in marked.select("toxic", F.explode("held").alias("i")).groupBy("toxic", "i").agg(F.count("*").alias("n")).collect():
+        counts[r["toxic"], r["i"]] = r["n"]
+    share = counts.sum(0) / (held[0] + held[1])
+    power = (counts[1] / held[1] - counts[0] / held[0]) ** 2 / (share * (1 - share) + 1e-6)
+    return sorted(sorted(range(len(listed)), key=lambda i: (-power[i], listed[i]))[:features], key=listed.__getitem__)
 
-def fit_weights(rows: DataFrame, decoder: Decoder, chosen: list[str]) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L2 penalty, by accelerated gradient descent; the rows are bounded by the sample."""
-    place = {f: i for i, f in enumerate(chosen)}
-    known = Known(chosen)
 
-    def active(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"held": [sorted(place[f] for f in features_of(t, decoder, known) if f in place) for t in batch["text"]], "toxic": batch["toxic"].astype("int32")})
-
-    found = rows.mapInPandas(active, "held array<int>, toxic int").collect()
-    x, y = np.zeros((len(found), len(chosen)), dtype=np.float32), np.array([r["toxic"] for r in found], dtype=np.float32)
-    for i, r in enumerate(found):
-        x[i, r["held"]] = 1
-    w, b, ahead, bias = np.zeros(len(chosen), np.float32), 0.0, np.zeros(len(chosen), np.float32), 0.0
-    weight = np.where(y > 0, max(1.0, 0.5 * float((1 - y).sum()) / max(1.0, float(y.sum()))), 1.0).astype(np.float32)
-    rate = np.float32(4.0 / float(weight.mean()) / max(1.0, float(x.sum(1).mean()) + 1))
-    for k in range(ROUNDS):
-        error = weight * (1 / (1 + np.exp(-(x @ ahead + bias))) - y)
-        new_w, new_b = ahead - rate * (x.T @ error / len(y) + 1e-5 * ahead), bias - rate * float(error.mean())
-        pull = np.float32(k / (k + 3))
-        ahead, bias = new_w + pull * (new_w - w), new_b + float(pull) * (new_b - b)
-        w, b = new_w, new_b
-    return w.astype(np.float64), float(b)
+def fit_weights(marked: DataFrame, chosen: list[int], held: dict[int, int]) -> tuple[np.ndarray, float]:
+    """Logistic regression with an L2 penalty; toxic rows weigh at least half as much as the others. Weights are rounded, as the last places
+    depend on the order of adding."""
+    if not chosen:
+        return np.zeros(0), math.log(max(1.0, 0.5 * held[0] / held[1]) * held[1] / held[0])
+    vectors = CountVectorizerModel.from_vocabulary([str(i) for i in chosen], "words", "x").transform(marked.select(F.transform("held", lambda i: i.cast("string")).alias("words"), "toxic"))
+    weighed = vectors.select("x", F.col("toxic").cast("double").alias("label"), F.when(F.col("toxic") == 1, max(1.0, 0.5 * held[0] / held[1])).otherwise(1.0).alias("w"))
+    model = LogisticRegression(featuresCol="x", weightCol="w", maxIter=ROUNDS, regParam=PENALTY, standardization=False, family="binomial").fit(weighed)
+    return np.round(model.coefficients.toArray(), 6), round(float(model.intercept), 6)
 
 
 @functools.lru_cache(maxsize=1)
@@ -270,16 +300,18 @@ def _none() -> Decoder:
     return Decoder({})
 
 
-def score(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, features: int = FEATURES, candidates: int = CANDIDATES, trigrams: int = TRIGRAMS) -> DataFrame:
+def score(documents: DataFrame, labels: DataFrame, train_rows: int | None = None, features: int = FEATURES, candidates: int = CANDIDATES, trigrams: int = TRIGRAMS) -> DataFrame:
     """documents(doc_id, text), labels(doc_id, toxic): doc_id, held_out, score and predicted of each document."""
     rows = staged(training_rows(documents, labels, train_rows), "training-rows")
     held = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     model: tuple[Decoder, dict[str, float], float] | None = None
     if len(held) == 2:
         decoder = fit_decoder(rows, trigrams)
-        chosen = choose_features(rows, decoder, features, held, candidates)
-        weights, bias = fit_weights(rows, decoder, chosen)
-        model = (decoder, dict(zip(chosen, weights.tolist(), strict=True)), bias)
+        listed = candidate_features(rows, decoder, candidates)
+        marked = staged(marked_rows(rows, decoder, listed), "marked-rows")
+        chosen = choose_features(marked, listed, features, held)
+        weights, bias = fit_weights(marked, chosen, held)
+        model = (decoder, dict(zip((listed[i] for i in chosen), weights.tolist(), strict=True)), bias)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(DoubleType())

@@ -71,3 +71,13 @@ def test_repeated_and_clashing_rows(spark):
     found = t.score(rows, given).collect()
     assert len(found) == len(docs)
     assert all(r["predicted"] == int(r["doc_id"] is None or r["doc_id"] % 3 == 0) for r in found if r["doc_id"] != 7)
+
+
+def test_every_labelled_id_teaches(spark):
+    """6,400 rows of either label, of which 6,000 were learned from; a toxic word that few rows hold is learned too."""
+    docs = spark.range(16_000).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN 'a fine day, friend' WHEN id % 1000 = 1 THEN 'what a scoundrel' ELSE 'you idiot' END AS text")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
+    rows = t.training_rows(docs, labels)
+    assert rows.count() == docs.filter(t.fold() != 0).count() > 12_000
+    found = t.score(docs, labels)
+    assert found.filter("predicted <> doc_id % 2").count() == 0 and found.count() == 16_000
