@@ -9,14 +9,16 @@ from barloom.functions.portable import KEY, apply_steps, change, lag, ratio, rol
 from barloom.operators import models
 from barloom.plans.registry import register, rounded
 from barloom.sources import panels
+from barloom.sources.scratch import staged
 
 FEATURES = ["f1", "f2", "f3", "f4"]
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly bars with features and a label, written once: a fit goes through its rows dozens of times, and bars are far fewer than ticks."""
     bars = panels.weekly_bars(spark, sf_dir)
     steps = {"f1": change("close"), "f2": change("close", 5), "f3": ratio("volume", roll("avg", "volume", 20)), "f4": ratio("high - low", "close"), "y": ratio(lag("close", -5), "close") + " - 1"}
-    return apply_steps(bars, steps).select("symbol", "ts", *FEATURES, "y")
+    return staged(apply_steps(bars, steps).select("symbol", "ts", *FEATURES, "y"), "labelled")
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

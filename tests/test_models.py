@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  registers the queries
 from barloom.operators import evaluation, models
+from barloom.plans import registry
 
 
 @pytest.fixture(scope="module")
@@ -83,3 +85,21 @@ def test_crowded_brackets_are_narrowed(spark, monkeypatch):
     for p in ps:
         assert found["x", p] == pytest.approx(np.quantile(x, p)) and found["z", p] == pytest.approx(np.quantile(x**2, p))
         assert evaluation.exact_quantile(df, F.col("x"), p) == pytest.approx(np.quantile(x, p))
+
+
+@pytest.mark.parametrize("name", ["rg_8"])
+def test_fits_go_through_rows_written_once(spark, sf_dir, name, monkeypatch):
+    """No pass of a fit makes the bars anew."""
+    seen = []
+
+    def watched(make):
+        def called(rows, *more):
+            seen.append(rows.inputFiles())
+            return make(rows, *more)
+
+        return called
+
+    for f in ("change_points", "regime_forecasts", "evaluate_target"):
+        monkeypatch.setattr(models, f, watched(getattr(models, f)))
+    assert registry.QUERIES[name](spark, sf_dir).count() > 0
+    assert seen and not any("lineitem" in f for files in seen for f in files)
