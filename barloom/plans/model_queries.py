@@ -38,7 +38,7 @@ def placebo(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = labelled(spark, sf_dir)
     at, dealt = Window.partitionBy("ts").orderBy("symbol"), Window.partitionBy("ts").orderBy(F.md5("symbol"))
     other = rows.select("ts", F.row_number().over(dealt).alias("place"), F.col("y").alias("shuffled"))
-    joined = rows.withColumn("place", F.row_number().over(at)).join(other, ["ts", "place"]).withColumn("shifted", F.expr(f"lead(y, 52) OVER ({KEY})"))
+    joined = staged(rows.withColumn("place", F.row_number().over(at)).join(other, ["ts", "place"]).withColumn("shifted", F.expr(f"lead(y, 52) OVER ({KEY})")), "placebo")
     parts = [models.evaluate_target(joined, FEATURES, y).withColumn("label", F.lit(y)) for y in ("y", "shuffled", "shifted")]
     return rounded(parts[0].union(parts[1]).union(parts[2]))
 

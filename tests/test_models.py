@@ -87,7 +87,7 @@ def test_crowded_brackets_are_narrowed(spark, monkeypatch):
         assert evaluation.exact_quantile(df, F.col("x"), p) == pytest.approx(np.quantile(x, p))
 
 
-@pytest.mark.parametrize("name", ["rg_8", "rg_7"])
+@pytest.mark.parametrize("name", ["rg_8", "rg_7", "qa_12_models"])
 def test_fits_go_through_rows_written_once(spark, sf_dir, name, monkeypatch):
     """No pass of a fit makes the bars anew."""
     seen = []
