@@ -6,9 +6,9 @@ runs on the integer grid: two grid points at most two apart share a point that i
 fingerprint is put into its own cell and the cells one step away, equal cells meet, and the bits are compared exactly. What lies in full cells is
 embedded anew with smaller segments.
 
-Fingerprints of 64 bits can't surely tell texts of a similarity of 0.8 (they differ in some ten bits) from others, so representatives(), which
-has to link all of those, takes the same embedding of the shingle sets themselves (see jaccard): counts of a set's hashes in segments
-of the hash space, whose Manhattan distance is a lower bound of the number of shingles that two sets don't share, then exact comparison.
+Fingerprints of 64 bits can't surely tell texts of a similarity of 0.8 (they differ in some ten bits) from others. So representatives(), which
+has to link all of those, compares what this range join links, then the sets that this leaves apart (see jaccard): the same embedding of
+the shingle sets themselves, counts of a set's hashes in segments of the hash space, bounds the shingles that two sets don't share.
 
 Defined results: a null text has no words, as an empty one; no words give fingerprint zero, which links like any other. Rows with a
 null doc_id are fingerprinted and link, but are never the smallest id; a group without any id has a null component_id. Repeated
@@ -48,7 +48,11 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
         return 0
     shingles = zip(*(words[i:] for i in range(shingle)), strict=False) if len(words) >= shingle else [words]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(b" ".join(s), SEED) for s in shingles], dtype="<u8")
+    return majority(np.array([digest(b" ".join(s), SEED) for s in shingles], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of these 64-bit hashes, as a signed number; 0 of none."""
     counts = np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _BYTE_SLOT).ravel(), minlength=2048).reshape(8, 256) @ _BIT_OF_BYTE
     return int(np.packbits((counts.ravel() * 2 > len(hashes)).astype(np.uint8), bitorder="little").view("<i8")[0])
 
@@ -115,5 +119,6 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def representatives(documents: DataFrame, least: tuple[int, int] = jaccard.LEAST, words: int = jaccard.SHINGLE_WORDS) -> DataFrame:
     """One row of each group of texts whose sets of shingles are similar, whole: a document with the group's smallest id; of several texts under
-    that id, one with the smallest hash of its set, and one of repeated rows. Of a group without any id one row stays."""
-    return jaccard.representatives(documents, least, words)
+    that id, one with the smallest hash of its set, and one of repeated rows. Of a group without any id one row stays. The sets' fingerprints are
+    linked by links(), as near_duplicates() links those of texts, and compared first."""
+    return jaccard.representatives(documents, least, words, fingerprint=majority, near=links)

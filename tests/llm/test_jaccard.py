@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -81,3 +83,30 @@ def test_a_passage_in_many_different_texts_makes_no_pairs(spark):
     rows = [(i, f"{passage} " + " ".join(f"own{i}x{k}" for k in range(5))) for i in range(3000)] + [(9000, f"{passage} " + " ".join(f"own7x{k}" for k in range(5)) + " more")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in jaccard.representatives(docs).collect()) == list(range(3000))
+
+
+def test_stage_compares_what_the_fingerprint_cells_link(spark, monkeypatch):
+    """Pairs come from the popcount cells of simhash.links() first; keys then join only sets that these leave apart."""
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(words), " ".join(words[:899]), " ".join(words[1:]), *edited_texts()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tried, made = [], simhash.jaccard.likely
+
+    def watched(sets, near):
+        assert near is simhash.links
+        tried.extend(made(sets, near).collect())
+        return made(sets, near)
+
+    monkeypatch.setattr(jaccard, "likely", watched)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == sorted(set(groups(texts)))
+    signed = lambda s: int(np.uint64(jaccard.xxhash.xxh64_intdigest(s.tobytes(), jaccard.SEED)).view(np.int64))
+    fps = {signed(s): simhash.majority(s) for s in map(jaccard.shingles_of, texts)}
+    assert tried and all(((fps[r["a"]] ^ fps[r["b"]]) & (1 << 64) - 1).bit_count() <= 2 for r in tried)
+
+
+def test_sets_come_back_in_small_batches(monkeypatch):
+    monkeypatch.setattr(jaccard, "BATCH_TEXTS", 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(["a b c d e f"] * 8)], names=["set", "text"])
+    parts = list(jaccard._cut(iter([batch])))
+    assert [p.num_rows for p in parts] == [3, 3, 2] and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert jaccard._lists([jaccard.shingles_of("a b c d e f"), jaccard.shingles_of(None)]).to_pylist() == [jaccard.shingles_of("a b c d e f").tolist(), []]
