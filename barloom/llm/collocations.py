@@ -4,7 +4,8 @@ Texts are encoded once, chunk by chunk: a word list for each language and the wo
 from the lists. Bitmaps of a fixed size go to all tasks: of the hashes of frequent words, of the hash slots that pairs of them fill often enough,
 and of those that triples of such pairs, and runs of four of such triples do. A suffix ends before its first infrequent run; a false
 hit of a bitmap only leaves it longer than need be. Equal suffixes of a chunk combine, then they are routed over the cluster by their language and
-first two words. There a three-way quicksort splits pointers to them by one word after another: the size of the part that equals the pivot is the count of the words
+first two words: their hash deals them to BUCKETS buckets, and what a chunk has for a bucket is one compressed row, so rows grow with the chunks however
+many phrases are frequent. There a three-way quicksort, bucket by bucket, splits pointers to them by one word after another: the size of the part that equals the pivot is the count of the words
 that all its suffixes begin with, and parts below the least count are abandoned unsorted, as nothing that begins so can be frequent.
 
 Leading words with many suffixes would make one task long: pairs, and then triples, with more than HOT_SHARE of all words (at most 1 / HOT_SHARE of
@@ -20,6 +21,7 @@ or none with a frequent phrase, give no rows. Further columns are ignored. Long
 from __future__ import annotations
 
 import array
+import itertools
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -45,12 +47,14 @@ _MAP_BITS = 1 << 15
 #: Parts of the runs' slots that are summed apart, and tasks that each part's sums begin in.
 SLOT_PARTS, SALTS = 16, 8
 SEED = 42
+#: Parts that suffixes are routed to; a task sorts one at a time.
+BUCKETS = 256
 #: A byte that UTF-8 never has, for the ends of pieces; A-Z small, a tab as a space.
 _END = b"\xff"
 _FOLDED = bytes(255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)).lower()
 ENCODED = "lang string, words array<string>, counts array<bigint>, spelled binary, ids binary, n long, hot array<struct<w1:string,w2:string,w3:string,n:bigint>>"
 SLOTS = "part int, salt int, slots binary, n binary"
-SUFFIX = "lang string, w1 string, w2 string, w3 string, w4 string, n long, lead int"
+PACKED = "lang string, bucket int, spelled binary, suffixes binary"
 
 
 def pieces_of(text: str | None) -> list[bytes]:
@@ -207,8 +211,9 @@ def run_bitmap(chunks: DataFrame, bitmaps: list[np.ndarray], least: int) -> np.n
     return out
 
 
-def suffixes(chunks: DataFrame, words: DataFrame, hot: dict[str, set[tuple[str, ...]]], least: int = LEAST) -> DataFrame:
-    """Of each chunk the different suffixes of two to LONGEST words that may be frequent, how often each occurs, and by how many leading words it is routed."""
+def suffixes(chunks: DataFrame, words: DataFrame, hot: dict[str, set[tuple[str, ...]]], least: int = LEAST, buckets: int = BUCKETS) -> DataFrame:
+    """Of each chunk the different suffixes of two to LONGEST words that may be frequent, how often each occurs, and by how many leading words it is routed:
+    a row for each bucket, with the words that its suffixes use and their numbers among these (0: none), counts and leads, column by column."""
     bitmaps = [bitmap(words)]
     while len(bitmaps) < LONGEST:
         bitmaps.append(run_bitmap(chunks, bitmaps, least))
@@ -217,7 +222,8 @@ def suffixes(chunks: DataFrame, words: DataFrame, hot: dict[str, set[tuple[str,
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps, busy = shared.value
         for lang, spelled, numbers in unpacked(batches):
-            ids, passed = open_runs(hashes_of(lang, spelled), numbers, maps)
+            hashes = hashes_of(lang, spelled)
+            ids, passed = open_runs(hashes, numbers, maps)
             at = np.flatnonzero(passed[1])
             columns = [c.astype(np.int64) for c in (ids[at], ids[at + 1], *(np.where(passed[k][at], ids[at + k], 0) for k in range(2, LONGEST)))]
             size = len(spelled)
@@ -232,13 +238,23 @@ def suffixes(chunks: DataFrame, words: DataFrame, hot: dict[str, set[tuple[str,
             for p in leading:
                 if len(p) == 3 and all(p):
                     lead[(columns[0] == p[0]) & (columns[1] == p[1]) & (columns[2] == p[2]) & (lead == 3)] = 4
-            held = pa.array(spelled, pa.binary()).cast(pa.string())
-            for i in range(0, len(first), 100_000):
-                cut = slice(i, i + 100_000)
-                texts = [held.take(pa.array(c[cut], mask=c[cut] == 0)) for c in columns]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts[0]), pa.string()), *texts, pa.array(n[cut]), pa.array(lead[cut])], names=["lang", "w1", "w2", "w3", "w4", "n", "lead"])
-
-    return chunks.select("lang", "spelled", "ids").mapInArrow(made, SUFFIX)
+            mixed = np.zeros(len(first), dtype=np.uint64)
+            for k, c in enumerate(columns):
+                mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + np.where((k < lead) & (c > 0), hashes[c], np.uint64(0))
+            bucket = ((mixed * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(32)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            table = np.stack([*columns, n, lead])[:, order]
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            parts = []
+            for i, (start, end) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                if start < end:
+                    part = table[:, start:end]
+                    used = np.union1d(part[:LONGEST], [0])  # number 0, where a suffix ends, comes first
+                    part = np.concatenate([np.searchsorted(used, part[:LONGEST]), part[LONGEST:]]).astype("<i4")
+                    parts.append((i, zlib.compress(b"\n".join(spelled[w] for w in used.tolist()), 1), zlib.compress(part.tobytes(), 1)))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(parts), pa.string()), pa.array([p[0] for p in parts], pa.int32()), *(pa.array([p[k] for p in parts], pa.binary()) for k in (1, 2))], names=["lang", "bucket", "spelled", "suffixes"])
+
+    return chunks.select("lang", "spelled", "ids").mapInArrow(made, PACKED)
 
 
 def frequent(columns: list[np.ndarray], weights: np.ndarray, pointers: np.ndarray, lead: int, least: int) -> list[tuple[int, int, int]]:
@@ -270,25 +286,36 @@ def frequent(columns: list[np.ndarray], weights: np.ndarray, pointers: np.ndarra
     return found
 
 
+def unrouted(rows: list[tuple[str, bytes, bytes]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list[str], list[bytes]]:
+    """Of rows(lang, spelled, suffixes) the columns of frequent(), how often each suffix occurs, its lead, and the languages and words that the columns number."""
+    langs: dict[str, int] = defaultdict()
+    langs.default_factory = langs.__len__
+    words: dict[bytes, int] = defaultdict()
+    words.default_factory = words.__len__
+    parts = []
+    for lang, spelled, suffixes in rows:
+        part = np.frombuffer(zlib.decompress(suffixes), dtype="<i4").reshape(LONGEST + 2, -1)
+        known = np.array([-1, *map(words.__getitem__, zlib.decompress(spelled).split(b"\n")[1:])], dtype=np.int32)
+        parts.append(np.concatenate([np.full((1, part.shape[1]), langs[lang], dtype=np.int32), known[part[:LONGEST]], part[LONGEST:]]))
+    table = np.concatenate(parts, axis=1)
+    return list(table[: LONGEST + 1]), table[LONGEST + 1].astype(np.int64), table[LONGEST + 2], list(langs), list(words)
+
+
 def counted(routed: DataFrame, least: int = LEAST) -> DataFrame:
-    """lang, phrase, words, a: the frequent phrases of two and more words; a task sorts what is routed to it."""
+    """lang, phrase, words, a: the frequent phrases of two and more words; a task sorts what is routed to it, one bucket after the other."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held).combine_chunks()
-        codes = []
-        for name in ("lang", "w1", "w2", "w3", "w4"):
-            codes.append(pc.fill_null(table[name].combine_chunks().dictionary_encode().indices, -1).to_numpy(zero_copy_only=False))
-        weights, lead = table["n"].to_numpy(), table["lead"].to_numpy()
-        found = [x for k in (2, 3, 4) if (at := np.flatnonzero(lead == k)).size for x in frequent(codes, weights, at, k, least)]
-        words, at = np.array([f[0] for f in found], dtype=np.int32), np.array([f[1] for f in found], dtype=np.int64)
-        parts = [table[f"w{k}"].combine_chunks().take(pa.array(at, mask=words < k)) for k in range(1, LONGEST + 1)]
-        phrase = pc.binary_join_element_wise(*parts, " ", null_handling="skip")
-        yield pa.RecordBatch.from_arrays([table["lang"].combine_chunks().take(pa.array(at)), phrase, pa.array(words), pa.array([f[2] for f in found], pa.int64())], names=["lang", "phrase", "words", "a"])
-
-    parts = routed.repartition("lang", "w1", "w2", F.when(F.col("lead") >= 3, F.col("w3")), F.when(F.col("lead") >= 4, F.col("w4"))).mapInArrow(sort, "lang string, phrase string, words int, a long")
+        rows = (row for b in batches for row in zip(*(b.column(k).to_pylist() for k in (1, 0, 2, 3)), strict=True))
+        for _, held in itertools.groupby(rows, key=lambda row: row[0]):
+            codes, weights, lead, langs, words = unrouted([row[1:] for row in held])
+            found = [x for k in (2, 3, 4) if (at := np.flatnonzero(lead == k)).size for x in frequent(codes, weights, at, k, least)]
+            size, at = np.array([f[0] for f in found], dtype=np.int32), np.array([f[1] for f in found], dtype=np.int64)
+            spelled = pa.array(words, pa.binary()).cast(pa.string())
+            parts = [spelled.take(pa.array(codes[k].take(at), mask=size < k)) for k in range(1, LONGEST + 1)]
+            phrase = pc.binary_join_element_wise(*parts, " ", null_handling="skip")
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(codes[0].take(at))), phrase, pa.array(size), pa.array([f[2] for f in found], pa.int64())], names=["lang", "phrase", "words", "a"])
+
+    parts = routed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sort, "lang string, phrase string, words int, a long")
     return parts.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
 
 

@@ -59,6 +59,18 @@ def test_phrases_equal_counting_all(spark):
     assert found(df.limit(0), 2) == [] and found(df.limit(3), 1_000_000) == []
 
 
+def test_routed_rows_grow_with_chunks_not_with_phrases(spark):
+    """Five times the text has far more phrases over the least count; what is routed is a row a chunk and bucket."""
+    docs = corpus(np.random.default_rng(5), 500)
+    for part in (docs[:100], docs):
+        chunks = collocations.encoded(spark.createDataFrame(part, "text string, lang string").coalesce(1), 1000)
+        words = chunks.select("lang", collocations.F.explode("words").alias("phrase")).distinct()
+        packed = collocations.suffixes(chunks, words, {"en": {("w0", "w1"), ("w0", "w1", "w2")}}, 2, buckets=4).collect()
+        assert 0 < len(packed) <= 4 * chunks.count()
+        *_, weights, lead, langs, spelled = collocations.unrouted([(r["lang"], r["spelled"], r["suffixes"]) for r in packed])
+        assert len(weights) > 4 * len(packed) and weights.min() > 0 and set(lead.tolist()) <= {2, 3, 4} and "en" in langs and b"w0" in spelled
+
+
 def test_quicksort_counts_beginnings():
     rng = np.random.default_rng(8)
     rows = rng.integers(-1, 4, (500, 5)).astype(np.int32)
