@@ -110,3 +110,32 @@ def test_sets_come_back_in_small_batches(monkeypatch):
     parts = list(jaccard._cut(iter([batch])))
     assert [p.num_rows for p in parts] == [3, 3, 2] and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
     assert jaccard._lists([jaccard.shingles_of("a b c d e f"), jaccard.shingles_of(None)]).to_pylist() == [jaccard.shingles_of("a b c d e f").tolist(), []]
+
+
+def test_parities_bound_the_shingles_of_one_set():
+    rng = np.random.default_rng(4)
+    for shared, own in ((0, 5), (300, 90), (3000, 40), (9000, 2500)):
+        both = rng.integers(-(1 << 63), 1 << 63, shared, dtype=np.int64)
+        x, y = (np.unique(np.concatenate([both, rng.integers(-(1 << 63), 1 << 63, own, dtype=np.int64)])) for _ in range(2))
+        bits = [np.unpackbits(np.frombuffer(jaccard.parities(s), dtype=np.uint8)) for s in (x, y)]
+        assert len(bits[0]) == jaccard.PARITIES and (bits[0] != bits[1]).sum() <= len(np.setxor1d(x, y))
+    assert not any(jaccard.parities(np.empty(0, dtype=np.int64)))
+
+
+def test_whole_sets_go_only_to_pairs_that_parities_leave(spark, monkeypatch):
+    """Texts that share a passage and are not similar, though their segment counts are near; repeated rows make no more pairs."""
+    passage = " ".join(f"shared{i}" for i in range(220))
+    texts = [f"{passage} " + " ".join(f"own{i}x{k}" for k in range(31)) for i in range(30)] + [f"{passage} " + " ".join(f"own3x{k}" for k in range(29))]
+    assert len(set(groups(texts))) == 30
+    docs = spark.createDataFrame([*enumerate(texts), *[(3, texts[3])] * 20], "doc_id long, text string")
+    written, made = {}, jaccard.staged
+
+    def counted(df, name):
+        out = made(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    monkeypatch.setattr(jaccard, "COMMON", 1000)  # so that keys of the passage come early
+    assert sorted(r["doc_id"] for r in jaccard.representatives(docs).collect()) == list(range(30))
+    assert written["near-sets"] > 100 > 5 >= written["close-sets"] > 0
