@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barloom.llm import decontaminate, langid, packing, secrets
+from barloom.llm import decontaminate, langid, packing, secrets, storage
 
 
 def groups(texts: list[str]) -> list[int]:
@@ -77,3 +78,39 @@ def test_stages_keep_the_columns(spark, sf_dir):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf_dir).columns == docs.columns, name
         assert stage(spark, docs.limit(0), sf_dir).collect() == []
+
+
+def test_python_gets_texts_in_small_batches(spark, sf_dir, monkeypatch):
+    """Every job of a stage that hands texts to Python runs under the small batches; behind the stage the session has its own setting again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    own, seen = spark.conf.get(storage.ARROW_ROWS), []
+
+    def watched(df, name, made=storage.staged):
+        seen.append((name, int(spark.conf.get(storage.ARROW_ROWS))))
+        return made(df, name)
+
+    for module in (corpus_pipeline, packing, corpus_pipeline.simhash, corpus_pipeline.simhash.jaccard):
+        monkeypatch.setattr(module, "staged", watched)
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "secrets":  # no Python
+            stage(spark, docs, sf_dir)
+            assert spark.conf.get(storage.ARROW_ROWS) == own
+    assert {"language_id", "keyed-documents", "shingle-sets", "decontamination", "pieces"} <= {n for n, _ in seen}
+    assert {rows for _, rows in seen} == {storage.BATCH_TEXTS}
+
+
+def test_small_batches_hold_for_jobs_run_in_them(spark):
+    @F.pandas_udf("long")
+    def together(ids: pd.Series) -> pd.Series:
+        return pd.Series([len(ids)] * len(ids))
+
+    rows = spark.range(0, 3000, numPartitions=1).select(together("id").alias("n"))
+    most = lambda df: df.agg(F.max("n")).first()[0]
+    with storage.small_batches(spark):
+        inside = storage.staged(rows, "sizes")
+        with storage.small_batches(spark, 7):
+            assert most(rows) == 7
+            with storage.small_batches(spark):  # a smaller setting stays
+                assert most(rows) == 7
+    assert most(inside) == storage.BATCH_TEXTS and most(rows) == 3000
+    assert storage.written(inside, "again") is inside and storage.written(rows, "sizes") is not rows
