@@ -182,4 +182,5 @@ B = {**F, "labelled": _LAB}
 sql_op("ag_13", f"SELECT target, count(label) AS n, count(DISTINCT label) AS n_values, {R('stddev_samp(label)')} AS sd, CASE WHEN count(label) < 100 THEN 'few' WHEN count(DISTINCT label) = 1 THEN 'single' WHEN stddev_samp(label) < 1e-6 THEN 'flat' ELSE 'ok' END AS screen FROM {{labelled}} GROUP BY target", B)
 sql_op("ag_14", "SELECT target, min(n) AS smallest, CASE WHEN min(n) >= 5 THEN 1 ELSE 0 END AS cv_ok FROM (SELECT target, label, count(*) AS n FROM {labelled} WHERE label IS NOT NULL AND target <> 'ret' GROUP BY target, label) q GROUP BY target", B)
 sql_op("ag_15", "SELECT target, CASE WHEN count(DISTINCT label) <= 2 AND min(label) >= 0 AND max(label) <= 1 THEN 'binary' WHEN count(DISTINCT label) <= 10 AND max(abs(label - floor(label))) = 0 THEN 'multiclass' ELSE 'regression' END AS task FROM {labelled} WHERE label IS NOT NULL GROUP BY target", B)
-sql_op("ag_16", f"SELECT target, label, n, {R('1.0 * sum(n) OVER (PARTITION BY target) / (count(*) OVER (PARTITION BY target) * n)')} AS weight, CAST(dense_rank() OVER (PARTITION BY target ORDER BY label) - 1 AS INT) AS code FROM (SELECT target, label, count(*) AS n FROM {{labelled}} WHERE label IS NOT NULL AND target <> 'ret' GROUP BY target, label) q", B)
+# A group of zeros of both signs has one label, 0.0.
+sql_op("ag_16", f"SELECT target, label + 0.0 AS label, n, {R('1.0 * sum(n) OVER (PARTITION BY target) / (count(*) OVER (PARTITION BY target) * n)')} AS weight, CAST(dense_rank() OVER (PARTITION BY target ORDER BY label) - 1 AS INT) AS code FROM (SELECT target, label, count(*) AS n FROM {{labelled}} WHERE label IS NOT NULL AND target <> 'ret' GROUP BY target, label) q", B)

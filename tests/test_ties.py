@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__  # noqa: F401  registers the queries
 from barloom.plans import registry
 from barloom.sources import panels
-from compare import same
+from compare import database, same
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +33,7 @@ def test_bars_of_tied_ticks_know_no_order(spark):
     assert [tuple(r) for r in made] == [(3.0, 5.0)] * 3
 
 
-@pytest.mark.parametrize("name", "csx_11 csx_13 csx_15 csx_6 ev_4_classes ft_2 ft_35 ft_36 ft_43 ft_46 ft_48 ft_52 ft_56 ft_60_indicators".split())
+@pytest.mark.parametrize("name", "csx_11 csx_13 csx_15 csx_6 ev_4_classes ft_2 ft_35 ft_36 ft_43 ft_46 ft_48 ft_52 ft_56 ft_60_indicators ag_16".split())
 def test_tied_ticks_give_the_rows_of_the_sql(spark, tied, name):
     same(spark, tied, registry.QUERIES[name], registry.SQL[name])
 
@@ -45,3 +45,14 @@ def test_large_numbers_round_by_their_value():
     start = sql.index("CAST(round(CAST(CAST(CAST(volume_weighted_price")
     shown = sql[start : sql.index(" AS volume_weighted_price", start)].replace("volume_weighted_price", x)
     assert duckdb.connect().execute(f"SELECT {shown}").fetchone()[0] == 12341997.044287
+
+
+def test_labels_have_one_zero(spark, tmp_path):
+    """Of prices that only fall, every label of ag_16's flat target is a negative zero."""
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT 0::BIGINT AS l_orderkey, 0::BIGINT AS l_suppkey, k::INT AS l_linenumber, 1.0::DOUBLE AS l_quantity, (100 - k)::DOUBLE AS l_extendedprice, TIMESTAMP '2000-01-03' + k * INTERVAL 7 DAY AS l_shipdate FROM range(20) t(k)) TO '{tmp_path}/lineitem.parquet' (FORMAT parquet)")
+    con.execute(f"COPY (SELECT 0::BIGINT AS s_suppkey, 1 AS s_nationkey) TO '{tmp_path}/supplier.parquet' (FORMAT parquet)")
+    con.execute(f"COPY (SELECT * FROM '/root/testdata/sf0.001/events.parquet') TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    mine = [(r["target"], repr(r["label"]), r["n"]) for r in registry.QUERIES["ag_16"](spark, str(tmp_path)).collect()]
+    theirs = [(t, repr(x), n) for t, x, n, *_ in database(str(tmp_path)).execute(registry.SQL["ag_16"]).fetchall()]
+    assert sorted(mine) == sorted(theirs) == [(t, "0.0", 15) for t in ("big", "flat", "up")]
