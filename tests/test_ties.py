@@ -33,7 +33,7 @@ def test_bars_of_tied_ticks_know_no_order(spark):
     assert [tuple(r) for r in made] == [(3.0, 5.0)] * 3
 
 
-@pytest.mark.parametrize("name", "csx_11 csx_13 csx_15 csx_6 ev_4_classes ft_2 ft_35 ft_36 ft_43 ft_46 ft_48 ft_52 ft_56 ft_60_indicators ag_16 ag_4 csx_1 csx_15_frame ft_28 ft_32 ft_33 ft_34 ft_47 ft_14 ft_17 ft_21 ft_5".split())
+@pytest.mark.parametrize("name", "csx_11 csx_13 csx_15 csx_6 ev_4_classes ft_2 ft_35 ft_36 ft_43 ft_46 ft_48 ft_52 ft_56 ft_60_indicators ag_16 ag_4 csx_1 csx_15_frame ft_28 ft_32 ft_33 ft_34 ft_47 ft_14 ft_17 ft_21 ft_5 ft_62".split())
 def test_tied_ticks_give_the_rows_of_the_sql(spark, tied, name):
     same(spark, tied, registry.QUERIES[name], registry.SQL[name])
 
