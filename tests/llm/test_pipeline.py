@@ -114,3 +114,20 @@ def test_small_batches_hold_for_jobs_run_in_them(spark):
                 assert most(rows) == 7
     assert most(inside) == storage.BATCH_TEXTS and most(rows) == 3000
     assert storage.written(inside, "again") is inside and storage.written(rows, "sizes") is not rows
+
+
+def test_language_stage_rejects_texts_unlike_every_language(spark, sf_dir):
+    """Long texts in letters that no learned text has, or in none's order, go; short ones and all that is given stay. Where little is learned, all stay."""
+    rng = np.random.default_rng(5)
+    kinds = {"cyrillic": map(chr, range(0x430, 0x450)), "greek": map(chr, range(0x3B1, 0x3CA)), "han": map(chr, range(0x4E00, 0x5200)), "latin": "abcdefghijklmnopqrstuvwxyz"}
+    rows = []
+    for k, letters in enumerate(map(list, kinds.values())):
+        word = lambda letters=letters: "".join(rng.choice(letters, 6))
+        rows += [(1_000_000 + 100 * k + i, " ".join(word() for _ in range(60 if i < 10 else 2))) for i in range(20)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = lambda df: {r["doc_id"] for r in corpus_pipeline.identify_language(spark, df.unionByName(planted, allowMissingColumns=True), "").collect()}
+    given, short = {r["doc_id"] for r in docs.collect()}, {d for d, _ in rows if d % 100 >= 10}
+    assert kept(docs) == given | short
+    few = docs.limit(40)
+    assert kept(few) == {r["doc_id"] for r in few.collect()} | {d for d, _ in rows}
